@@ -120,5 +120,30 @@ COLD_SCAN_SCHEMA = """
 AUDIT_SCHEMA = """
     eventTime STRING, eventName STRING, eventSource STRING,
     userIdentity STRUCT<userName: STRING>,
-    requestParameters STRUCT<bucketName: STRING, key: STRING>
+    requestParameters STRUCT<bucketName: STRING, key: STRING,
+        LegalHold: STRUCT<Status: STRING>>
+"""
+
+# Columns our tables add for partitioning and for picking the last copy.
+HOT_TABLE_SCHEMA = HOT_SCHEMA.rstrip() + """,
+    batch_id BIGINT, ist_month STRING, ist_day STRING, write_id STRING
+"""
+
+QUARANTINE_SCHEMA = """
+    body STRING, reason STRING, cold_written BOOLEAN, parked_at TIMESTAMP,
+    batch_id BIGINT, parked_day STRING, write_id STRING
+"""
+
+COLD_PAYLOAD_SCHEMA = """
+    s3_key STRING, kind STRING,
+    meta STRUCT<request_id: STRING, service: STRING, vendor_id: STRING,
+        endpoint: STRING, created_at: STRING, environment: STRING>,
+    payload STRING, year STRING, month STRING, day STRING, vendor_id STRING,
+    write_id STRING
+"""
+
+ROLLUP_SCHEMA = """
+    window_start TIMESTAMP, vendor_id STRING, endpoint STRING, service STRING,
+    status STRING, total BIGINT, total_latency BIGINT, rollup_day STRING,
+    write_id STRING
 """

@@ -37,9 +37,9 @@ def duplicate_ids(hot: DataFrame) -> DataFrame:
 
 
 def one_per_batch(messages: DataFrame) -> DataFrame:
-    """First delivery of each request within a batch, for the cold write."""
-    order = [F.asc(name) for name in TIE_BREAKERS if name in messages.columns]
-    return latest_copy(messages, ["request_id"], order)
+    """First delivery per archive object within a batch, for the cold write."""
+    order = [F.asc(name) for name in ("received_at", "delivery") if name in messages.columns]
+    return latest_copy(messages, ["s3_request_key"], order)
 
 
 def not_yet_cold(messages: DataFrame, cold_keys: DataFrame) -> DataFrame:

@@ -54,16 +54,25 @@ def waiting_by_minute(events: DataFrame) -> DataFrame:
         .groupBy("at.size", "at.block")
         .agg(F.sum("waiting").alias("waiting"), F.min("oldest_created").alias("oldest_created"))
     )
-    # One row of bounds, exploded to calendar minutes.
-    minutes = spans.agg(F.min("first").alias("lo"), F.max("end").alias("hi")).select(
-        F.explode(F.sequence("lo", F.col("hi") - 1)).alias("minute"))
-    lookups = minutes.withColumn(
-        "size", F.explode(F.sequence(F.lit(0), F.lit(SIZES - 1)))
-    ).withColumn("block", F.expr("shiftright(minute, size)"))
-    same_size_block = F.expr("minute DIV shiftleft(1L, size)")
+    # The calendar between the first and the last wait: days from one row of
+    # bounds, spread out, then minutes. Only sizes that can occur are looked up.
+    bounds = spans.agg(
+        F.min("first").alias("lo"),
+        F.max("end").alias("hi"),
+        F.floor(F.log2(F.max(F.col("end") - F.col("first")))).cast("int").alias("largest"),
+    )
+    days = bounds.select(
+        "lo", "hi", "largest",
+        F.explode(F.expr("sequence(lo DIV 1440, (hi - 1) DIV 1440)")).alias("day"),
+    ).repartition("day")
+    lookups = (
+        days.withColumn("minute", F.explode(F.expr("sequence(day * 1440, day * 1440 + 1439)")))
+        .where("minute >= lo AND minute < hi")
+        .withColumn("size", F.explode(F.sequence(F.lit(0), "largest")))
+        .withColumn("block", F.expr("minute DIV shiftleft(1L, size)"))
+    )
     return (
-        lookups.withColumn("block", same_size_block)
-        .join(blocks, ["size", "block"])
+        lookups.join(blocks, ["size", "block"])
         .groupBy("minute")
         .agg(F.sum("waiting").alias("waiting"), F.min("oldest_created").alias("oldest_created"))
         .select(

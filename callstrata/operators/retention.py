@@ -14,7 +14,7 @@ def cutoff(now: Column, days: int) -> Column:
 def expire_rows(hot: DataFrame, now: Column,
                 days: int = contract.ROW_RETENTION_DAYS) -> DataFrame:
     """Rows still inside the retention period, to the exact edge."""
-    return hot.where(F.col("created_at") + F.make_dt_interval(days=F.lit(days)) > now)
+    return hot.where(F.col("created_at") > cutoff(now, days))
 
 
 def expire_payloads(hot: DataFrame, now: Column,

@@ -16,6 +16,7 @@ REQUIRED_CONF = {
 # Defaults for sessions we create ourselves. A cluster brings its own.
 LOCAL_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
