@@ -80,10 +80,10 @@ def parse_messages(messages: DataFrame) -> DataFrame:
         "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
     }
     event = F.from_json("body", schema, options)
-    others = [F.col(name) for name in messages.columns]
+    # As a generator the parse runs once per message. As a plain column it would
+    # be copied into every filter and column that uses one of its fields.
     return (
-        messages.withColumn("_event", event)
-        .select(*others, "_event.*")
+        messages.select("*", F.inline(F.array(event)))
         .withColumn("reason", rejection_reason())
         .drop("_corrupt")
     )
@@ -91,13 +91,23 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
 def rejection_reason() -> Column:
     version = F.col("schema_version")
+    is_object = F.coalesce(F.col("body").rlike(r"^\s*\{"), F.lit(False))
     return (
-        F.when(F.col("_corrupt").isNotNull(), "unparseable")
+        F.when(F.col("_corrupt").isNotNull() | ~is_object, "unparseable")
         .when(~F.equal_null(version, F.lit(contract.SUPPORTED_SCHEMA_VERSION)),
               "unsupported_version")
-        .when(~F.coalesce(F.col("request_id").rlike(UUID_SHAPE), F.lit(False)), "bad_request_id")
-        .when(~F.coalesce(F.col("loan_lifecycle_stage").isin(*contract.LIFECYCLE_STAGES),
-                          F.lit(False)), "bad_stage")
+        .otherwise(hot_rejection())
+    )
+
+
+def hot_rejection() -> Column:
+    """Why an event cannot be a hot row; NULL when it can."""
+    is_uuid = F.coalesce(F.col("request_id").rlike(UUID_SHAPE), F.lit(False))
+    stage_known = F.coalesce(
+        F.col("loan_lifecycle_stage").isin(*contract.LIFECYCLE_STAGES), F.lit(False))
+    return (
+        F.when(~is_uuid, "bad_request_id")
+        .when(~stage_known, "bad_stage")
         .when(scalars.event_time(F.col("created_at")).isNull(), "bad_created_at")
     )
 

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callstrata import contract
 from callstrata.operators.dedup import hot_final
-from callstrata.operators.ingest import DEFAULT_ENVIRONMENT, hot_rows, map_hot_row
+from callstrata.operators.ingest import (
+    DEFAULT_ENVIRONMENT, hot_rejection, hot_rows, map_hot_row,
+)
 from callstrata.sources.files import (
     drop_folder, list_folders, partition_value, path_exists, write_partitions,
 )
@@ -71,7 +73,8 @@ def replay_cold(cold_events: DataFrame, hot: DataFrame, received_at,
 
     The archive does not hold every field; those it lacks take their defaults.
     """
-    missing = cold_events.join(hot.select("request_id"), "request_id", "left_anti")
+    fit = cold_events.where(hot_rejection().isNull())
+    missing = fit.join(hot.select("request_id"), "request_id", "left_anti")
     filled = missing.withColumns({
         name: F.lit(None).cast("string")
         for name in contract.WIRE_COLUMNS if name not in missing.columns
