@@ -19,7 +19,7 @@ def covering_blocks(first: Column, end: Column) -> Column:
     """Aligned blocks that make up the minutes [first, end), as (size, block)."""
 
     def at_size(size: Column) -> Column:
-        width = F.shiftleft(F.lit(1).cast("bigint"), size.cast("int"))
+        width = F.call_function("shiftleft", F.lit(1).cast("bigint"), size)
         low = F.ceil(first / width).cast("bigint")
         high = F.floor(end / width).cast("bigint")
         left = F.when((low < high) & (low % 2 == 1), low)
