@@ -25,6 +25,9 @@ LOCAL_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# Temporary folders of local sessions without a shared folder, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
 
 def local_session(cores: str = "8", app_name: str = "callstrata") -> SparkSession:
     """A local session for tests and benchmarks."""
@@ -61,9 +64,10 @@ def shared_folder(spark: SparkSession) -> str:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = tempfile.mkdtemp(prefix="callstrata-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="callstrata-")
+    return _LOCAL_FOLDERS[application]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
