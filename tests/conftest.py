@@ -13,6 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(cores="8", app_name="callstrata-tests")
+    session.conf.set("spark.sql.maxMetadataStringLength", "2000")
     yield session
     session.stop()
 
