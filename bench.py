@@ -67,7 +67,7 @@ def main() -> None:
         timed(name, lambda: run(run_panel(name, hot.raw())))
         if panel.additive:
             timed(f"{name}_rollup",
-                  lambda: run(run_panel(name, rollup.merged(), from_rollup=True)))
+                  lambda: run(run_panel(name, rollup.partials(), from_rollup=True)))
     for name in ("fun_vendor_ranking", "fail_rate_by_vendor", "lat_quantiles"):
         timed(f"{name}_final", lambda: run(run_panel(name, hot_final(hot.raw()))))
     for name in alerts.FAILURE_RATE_RULES:

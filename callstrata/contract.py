@@ -142,6 +142,10 @@ COLD_PAYLOAD_SCHEMA = """
     write_id STRING
 """
 
+COLD_INDEX_SCHEMA = """
+    s3_request_key STRING, year STRING, month STRING, day STRING, write_id STRING
+"""
+
 ROLLUP_SCHEMA = """
     window_start TIMESTAMP, vendor_id STRING, endpoint STRING, service STRING,
     status STRING, total BIGINT, total_latency BIGINT, rollup_day STRING,

@@ -42,11 +42,21 @@ def one_per_batch(messages: DataFrame) -> DataFrame:
     return latest_copy(messages, ["s3_request_key"], order)
 
 
-def not_yet_cold(messages: DataFrame, cold_keys: DataFrame) -> DataFrame:
+# A key takes about 150 bytes, so this many stay far below an executor's memory.
+MAX_BROADCAST_KEYS = 500_000
+
+
+def not_yet_cold(messages: DataFrame, cold_keys: DataFrame,
+                 message_count: int | None = None) -> DataFrame:
     """Messages whose request object is not in the archive yet.
 
-    `cold_keys` should hold only the days the messages touch. The join shuffles
-    both sides on the key unless Spark finds one small enough to broadcast.
+    `cold_keys` should hold only the days the messages touch, and is usually far
+    larger than a batch. When the batch is known to be small its keys are
+    broadcast and the archive's keys are only streamed past them. Otherwise both
+    sides are shuffled on the key.
     """
-    return one_per_batch(messages).join(
-        cold_keys.select("s3_request_key"), "s3_request_key", "left_anti")
+    wanted = messages.select("s3_request_key").distinct()
+    if message_count is not None and message_count <= MAX_BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    found = cold_keys.select("s3_request_key").join(wanted, "s3_request_key", "left_semi")
+    return one_per_batch(messages).join(found, "s3_request_key", "left_anti")

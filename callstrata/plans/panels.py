@@ -58,7 +58,8 @@ def run_panel(name: str, rows: DataFrame, *, start=None, end=None, mode: str = "
     """One panel over `rows`, with its board's filters.
 
     `rows` is the hot table with every delivery, its deduplicated view, or, with
-    from_rollup=True, the merged minute rollup.
+    from_rollup=True, the minute rollup. Rollup rows are added up by the panel, so
+    partial sums need not be merged first.
     """
     chosen = PANELS[name]
     columns = BOARDS[chosen.board]

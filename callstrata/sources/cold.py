@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callstrata import contract
-from callstrata.functions import scalars
 from callstrata.operators.ingest import DEFAULT_ENVIRONMENT
 from callstrata.sources.files import path_exists, write_partitions
 
 PARTITIONS = ("year", "month", "day", "vendor_id", "write_id")
+INDEX_PARTITIONS = ("year", "month", "day", "write_id")
 ROWS_PER_FILE = 200_000
 
 
@@ -63,10 +63,14 @@ class ColdArchive:
         self.spark = spark
         self.payload_path = f"{path}/payload"
         self.meta_path = f"{path}/meta"
+        self.index_path = f"{path}/index"
         self.environment = environment
 
     def write(self, events: DataFrame, write_id: str) -> None:
-        """Archive events. Payloads first: metadata marks an event as archived."""
+        """Archive events: payloads, metadata, and last the index of request keys.
+
+        An event counts as archived once its key is in the index.
+        """
         stamped = F.lit(write_id)
         write_partitions(
             payload_documents(events, self.environment).withColumn("write_id", stamped),
@@ -76,6 +80,11 @@ class ColdArchive:
             metadata_rows(events).withColumn("write_id", stamped),
             self.meta_path, PARTITIONS, sort_by=("created_at",), file_format="json",
             options={"maxRecordsPerFile": str(ROWS_PER_FILE), "ignoreNullFields": "false"})
+        write_partitions(
+            events.withColumns(_day_parts()).select(
+                "s3_request_key", *INDEX_PARTITIONS[:3], stamped.alias("write_id")),
+            self.index_path, INDEX_PARTITIONS, sort_by=("s3_request_key",),
+            options={"compression": "zstd"})
 
     def documents(self) -> DataFrame:
         return self.spark.read.schema(contract.COLD_PAYLOAD_SCHEMA).json(self.payload_path)
@@ -101,16 +110,18 @@ class ColdArchive:
         return rows.drop("write_id")
 
     def request_keys(self, days: list[str], except_write: str | None = None) -> DataFrame:
-        """Request keys archived on the given days (`yyyy/MM/dd`), from metadata."""
-        if not path_exists(self.spark, self.meta_path):
+        """Request keys archived on the given days (`yyyy/MM/dd`).
+
+        The index is a narrow, sorted table of its own: every batch asks it, and
+        must not read the archive's metadata each time.
+        """
+        if not path_exists(self.spark, self.index_path):
             return self.spark.createDataFrame([], "s3_request_key string")
-        day = F.concat_ws("/", "year", "month", "day")
-        rows = self.metadata().where(_on_days(days))
+        rows = self.spark.read.schema(contract.COLD_INDEX_SCHEMA).parquet(self.index_path)
+        rows = rows.where(_on_days(days))
         if except_write is not None:
             rows = rows.where(F.col("write_id") != except_write)
-        prefix = scalars.cold_prefix(
-            day, F.col("vendor_id"), F.col("endpoint"), F.col("user_id"), F.col("request_id"))
-        return rows.select(scalars.cold_key(prefix, "request").alias("s3_request_key"))
+        return rows.select("s3_request_key")
 
     def events(self) -> DataFrame:
         """Archived events joined again from metadata and their two documents."""

@@ -18,6 +18,7 @@ from callstrata.sources.files import (
 )
 
 PARTITIONS = ("ist_month", "ist_day", "write_id")
+COMPACTED = "compacted-"
 BLOOM_COLUMNS = tuple(name for name in LOOKUP_COLUMNS if name != "status")
 
 
@@ -64,34 +65,79 @@ class HotTable:
         return self.spark.read.schema(contract.HOT_TABLE_SCHEMA).parquet(self.path)
 
     def final(self) -> DataFrame:
-        """One row per request and month: the last copy ingested."""
-        return hot_final(self.raw())
+        """One row per request and month: the last copy ingested.
+
+        Months that compaction left without newer writes hold no copies and are
+        read as they are; only the others are shuffled.
+        """
+        return self._deduplicated(self.raw())
+
+    def _deduplicated(self, rows: DataFrame) -> DataFrame:
+        settled, every = self._settled_months()
+        if not settled:
+            return hot_final(rows)
+        if len(settled) == every:
+            return rows
+        is_settled = F.col("ist_month").isin(settled)
+        return hot_final(rows.where(~is_settled)).unionByName(rows.where(is_settled))
+
+    def _folders(self, month: str = "*") -> list[str]:
+        return list_folders(self.spark, f"{self.path}/ist_month={month}/ist_day=*/write_id=*")
+
+    def _settled_months(self) -> tuple[list[str], int]:
+        """Months whose every day holds exactly one write, made by compaction,
+        and how many months there are."""
+        writes: dict[str, dict[str, list[str]]] = {}
+        for folder in self._folders():
+            month, day, write_id = (partition_value(folder, name) for name in PARTITIONS)
+            writes.setdefault(month, {}).setdefault(day, []).append(write_id)
+        settled = sorted(
+            month for month, days in writes.items()
+            if all(len(ids) == 1 and ids[0].startswith(COMPACTED) for ids in days.values()))
+        return settled, len(writes)
 
     def current(self, now: Column, final: bool = True) -> DataFrame:
         """Rows and payloads as retention leaves them at `now`, to the exact edge."""
         rows = self.raw()
         edge = cutoff(now, contract.ROW_RETENTION_DAYS)
         rows = rows.where((F.col("ist_month") >= hot_month(edge)) & (F.col("ist_day") >= hot_day(edge)))
-        rows = hot_final(rows) if final else rows
+        rows = self._deduplicated(rows) if final else rows
         return expire_payloads(expire_rows(rows, now), now)
 
     # -- maintenance --
 
     def compact(self, month: str) -> int:
-        """Replace a month's writes by one deduplicated write.
+        """Deduplicate a month, rewriting only days that new writes touch.
 
-        The result is written in full before the old folders go. A crash in
-        between leaves extra copies, which deduplication on read hides and the
+        A day is rewritten when it has a write since the last compaction, or a
+        row whose request came again on another day. All other days have no
+        copies. The result is written in full before the old folders go: a crash
+        in between leaves extra copies, which deduplication on read hides and the
         next compaction removes. Folders written meanwhile are not touched.
         Returns the number of folders replaced.
         """
-        old = list_folders(self.spark, f"{self.path}/ist_month={month}/ist_day=*/write_id=*")
-        if not old:
+        folders = self._folders(month)
+        per_day: dict[str, list[str]] = {}
+        for folder in folders:
+            per_day.setdefault(partition_value(folder, "ist_day"), []).append(
+                partition_value(folder, "write_id"))
+        touched = {day for day, ids in per_day.items()
+                   if len(ids) > 1 or not ids[0].startswith(COMPACTED)}
+        if not touched:
             return 0
-        write_ids = sorted({partition_value(folder, "write_id") for folder in old})
+        write_ids = sorted({write_id for ids in per_day.values() for write_id in ids})
         rows = self.raw().where(
             (F.col("ist_month") == month) & F.col("write_id").isin(*write_ids))
-        self._write(hot_final(rows).withColumn("write_id", F.lit(f"compacted-{uuid.uuid4().hex}")))
+        untouched = sorted(per_day.keys() - touched)
+        if untouched:
+            is_untouched = F.col("ist_day").isin(untouched)
+            again = rows.where(~is_untouched).select("request_id")
+            # At most the days of one month.
+            touched |= {row.ist_day for row in rows.where(is_untouched).join(
+                again, "request_id", "left_semi").select("ist_day").distinct().collect()}
+        rows = rows.where(F.col("ist_day").isin(sorted(touched)))
+        self._write(hot_final(rows).withColumn("write_id", F.lit(f"{COMPACTED}{uuid.uuid4().hex}")))
+        old = [folder for folder in folders if partition_value(folder, "ist_day") in touched]
         for folder in old:
             drop_folder(self.spark, folder)
         return len(old)

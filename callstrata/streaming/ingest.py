@@ -55,9 +55,10 @@ class Archive:
         try:
             events = with_cold_keys(version_gate(parsed))
             # Bounded by the calendar days a batch touches, usually one or two.
-            days = [row.cold_day for row in events.select("cold_day").distinct().collect()]
-            known = self.cold.request_keys(days, except_write=write_id)
-            self.cold.write(not_yet_cold(events, known), write_id)
+            days = {row.cold_day: row["count"]
+                    for row in events.groupBy("cold_day").count().collect()}
+            known = self.cold.request_keys(list(days), except_write=write_id)
+            self.cold.write(not_yet_cold(events, known, sum(days.values())), write_id)
             self.quarantine.write(quarantine_rows(parsed), write_id, batch_id)
             write_partitions(
                 skipped_versions(parsed).withColumn("write_id", F.lit(write_id)),

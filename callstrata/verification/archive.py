@@ -132,8 +132,8 @@ _FINAL_WIRE_SQL = f"""SELECT * EXCLUDE (rn, delivery) FROM (SELECT *, row_number
     FROM ({hot_row_select(', delivery')})) WHERE rn = 1"""
 
 
-@query(over_wire(_FINAL_WIRE_SQL))
-def replay_quarantined(spark, sf_dir):
+@query(name="replay_quarantine", sql=over_wire(_FINAL_WIRE_SQL))
+def replay_parked(spark, sf_dir):
     """Hot inserts failed for an hour and were parked; after replay none is missing."""
     landed = messages(spark, sf_dir)
     failed = during_outage("received_at")

@@ -32,11 +32,11 @@ def wire_rename(spark, sf_dir):
     return rename(producer)
 
 
-@query(over_wire("""SELECT 'kept' AS outcome, 1 AS schema_version, count(*) AS messages FROM w
+@query(name="version_gate", sql=over_wire("""SELECT 'kept' AS outcome, 1 AS schema_version, count(*) AS messages FROM w
     WHERE reason IS NULL OR reason NOT IN ('unparseable', 'unsupported_version')
     UNION ALL SELECT 'skipped', schema_version, count(*) FROM w
     WHERE reason = 'unsupported_version' GROUP BY schema_version"""))
-def version_gate_counts(spark, sf_dir):
+def count_versions(spark, sf_dir):
     parsed = parse_messages(messages(spark, sf_dir))
     kept = version_gate(parsed).groupBy("schema_version").agg(F.count("*").alias("messages"))
     skipped = skipped_versions(parsed).withColumnRenamed("skipped", "messages")
@@ -44,8 +44,8 @@ def version_gate_counts(spark, sf_dir):
         skipped.withColumn("outcome", F.lit("skipped")))
 
 
-@query(over_wire(hot_row_select(", delivery")))
-def map_hot_rows(spark, sf_dir):
+@query(name="map_hot_row", sql=over_wire(hot_row_select(", delivery")))
+def map_rows(spark, sf_dir):
     good = parse_messages(messages(spark, sf_dir)).where("reason IS NULL")
     return map_hot_row(with_cold_keys(good))
 

@@ -140,35 +140,47 @@ def rollup_stream_partials(spark, sf_dir):
     return table.merged()
 
 
-@query(over_hot(ROLLUP_SQL))
-def rollup_stream_windows(spark, sf_dir):
+@query(name="rollup_stream", sql=over_hot(ROLLUP_SQL))
+def rollup_windows(spark, sf_dir):
     """Event-time windows, with room for all rows of the sample to be late."""
     windows = rollup_stream(hot_stream(spark, sf_dir), lateness="1 day")
     return run_updates(spark, windows, [
         "window_start", "vendor_id", "endpoint", "service", "status"])
 
 
-@query(over_hot("SELECT *, rate > 5 AS breaching FROM (" + windows_sql(
+@query(name="alert_stream", sql=over_hot("SELECT *, rate > 5 AS breaching FROM (" + windows_sql(
     "P1", 5, f"count(*) AS calls, {_FAILURES} AS failures, "
     f"{_FAILURES} * 100.0::DOUBLE / count(*) AS rate") + ")").replace(
         "SELECT *, rate", "SELECT * EXCLUDE (rate), rate AS failure_rate, rate"))
-def alert_stream_rates(spark, sf_dir):
+def alert_rates(spark, sf_dir):
     rates = alert_stream(
         hot_stream(spark, sf_dir), FAILURE_RATE_RULES["p1_rate_high"], lateness="1 day")
     return run_updates(spark, rates, ["vendor_id", "window_end"])
 
 
-@query(over_hot("SELECT DISTINCT request_id, vendor_id, endpoint FROM v"))
-def dedup_stream_ids(spark, sf_dir):
-    """Stateful deduplication: one copy of each request, whichever came first."""
+def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "deduplicated")
     finish(
         dedup_stream(hot_stream(spark, sf_dir)).writeStream.format("parquet")
         .option("checkpointLocation", fresh_path(spark, "checkpoint"))
         .trigger(availableNow=True).start(path)
     )
-    return spark.read.schema(contract.HOT_SCHEMA).parquet(path).select(
-        "request_id", "vendor_id", "endpoint")
+    return spark.read.schema(contract.HOT_SCHEMA).parquet(path)
+
+
+@query(name="dedup_stream", sql=over_hot("SELECT DISTINCT request_id, vendor_id, endpoint FROM v"))
+def deduplicated_ids(spark, sf_dir):
+    """Stateful deduplication: one copy of each request, whichever came first."""
+    return deduplicated(spark, sf_dir).select("request_id", "vendor_id", "endpoint")
+
+
+@query(over_hot("""SELECT vendor_id, count(*) AS deliveries, count(DISTINCT request_id) AS requests
+    FROM v GROUP BY vendor_id"""))
+def stream_dedup(spark, sf_dir):
+    """How many deliveries each vendor's requests had before and after."""
+    before = hot_events(spark, sf_dir).groupBy("vendor_id").agg(F.count("*").alias("deliveries"))
+    after = deduplicated(spark, sf_dir).groupBy("vendor_id").agg(F.count("*").alias("requests"))
+    return before.join(after, "vendor_id")
 
 
 @query(f"""SELECT event_name, bucket, count(*) AS records FROM ({AUDIT_SQL}) GROUP BY 1, 2""")

@@ -21,8 +21,8 @@ READERS = sorted(
                         "latest", "fresh", "held", "hot_final", "rollup_1m", "cold_hot_recon"))
     and "stream" not in name
 )
-# Sides with a fixed or limited number of rows: the tier list and a top 100.
-MAY_BROADCAST = ("alert_p1", "alert_p2", "p1_", "ops_dup_deliveries", "ops_possible")
+# The side broadcast is a top 100.
+MAY_BROADCAST = ("ops_dup_deliveries",)
 
 
 def plan_of(frame):

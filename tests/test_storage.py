@@ -85,6 +85,23 @@ def test_compaction_keeps_the_final_rows(hot):
     assert {r.batch_id for r in january.collect()} == {1}
 
 
+def test_compaction_rewrites_only_touched_days(spark, hot):
+    for month in ("202401", "202402", "202403", "202404"):
+        hot.compact(month)
+    assert hot.compact("202401") == 0, "nothing new"
+    assert "Window" not in plan_of(hot.final()), "settled months are not shuffled"
+    expected = {r.request_id: r.latency_ms for r in hot.final().collect()}
+
+    late = [event("r1", datetime(2024, 1, 25, 12), ingested_at=datetime(2024, 3, 1), latency_ms=77),
+            event("new", datetime(2024, 1, 25, 12))]
+    hot.write(spark.createDataFrame(late, contract.HOT_SCHEMA), "batch-2", 2)
+    expected.update(r1=77, new=5)
+    assert "Window" in plan_of(hot.final())
+    assert {r.request_id: r.latency_ms for r in hot.final().collect()} == expected
+    assert hot.compact("202401") == 2, "the new day, and the day of the older copy"
+    assert {r.request_id: r.latency_ms for r in hot.raw().collect()} == expected
+
+
 def test_rows_expire_by_whole_days_and_readers_see_the_exact_edge(hot):
     now = datetime(2024, 1, 11, 13) + timedelta(days=90)
     at = F.lit(str(now)).cast("timestamp")
