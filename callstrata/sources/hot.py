@@ -131,7 +131,7 @@ class HotTable:
         untouched = sorted(per_day.keys() - touched)
         if untouched:
             is_untouched = F.col("ist_day").isin(untouched)
-            again = rows.where(~is_untouched).select("request_id")
+            again = rows.where(~is_untouched).select("request_id").distinct()
             # At most the days of one month.
             touched |= {row.ist_day for row in rows.where(is_untouched).join(
                 again, "request_id", "left_semi").select("ist_day").distinct().collect()}
@@ -170,8 +170,10 @@ class HotTable:
             .select(*PARTITIONS)
             .distinct()
         )
-        # One row per day and write: small next to the table, left to Spark to place.
-        rewritten = expire_payloads(old_days.join(still_full, list(PARTITIONS), "left_semi"), now, days)
+        # One row per folder, and the driver lists folders anyway. A shuffle on these
+        # keys would send a whole day to one task; broadcast, they prune folders.
+        old_rows = old_days.join(F.broadcast(still_full), list(PARTITIONS), "left_semi")
+        rewritten = expire_payloads(old_rows, now, days)
         staging = fresh_path(self.spark, "blanked")
         rewritten.write.parquet(staging)
         staged = self.spark.read.schema(contract.HOT_TABLE_SCHEMA).parquet(staging)

@@ -74,7 +74,8 @@ def replay_cold(cold_events: DataFrame, hot: DataFrame, received_at,
     The archive does not hold every field; those it lacks take their defaults.
     """
     fit = cold_events.where(hot_rejection().isNull())
-    missing = fit.join(hot.select("request_id"), "request_id", "left_anti")
+    # Distinct first: an id with very many copies then sends few rows to the join.
+    missing = fit.join(hot.select("request_id").distinct(), "request_id", "left_anti")
     filled = missing.withColumns({
         name: F.lit(None).cast("string")
         for name in contract.WIRE_COLUMNS if name not in missing.columns

@@ -42,7 +42,17 @@ def alert_stream(events: DataFrame, rule: Rule, lateness: str = "10 minutes") ->
     )
 
 
-def dedup_stream(events: DataFrame, horizon_days: int = REDELIVERY_HORIZON_DAYS) -> DataFrame:
-    """Collapse re-deliveries inside the horizon; keeps the first copy, not the last."""
-    return events.withWatermark("ingested_at", f"{horizon_days} days").dropDuplicatesWithinWatermark(
-        ["request_id"])
+def dedup_stream(events: DataFrame, horizon_days: int = REDELIVERY_HORIZON_DAYS,
+                 spread: int = 8) -> DataFrame:
+    """Collapse re-deliveries inside the horizon; keeps a first copy, not the last.
+
+    Stateful deduplication sends all copies of an id to one task. So that a very
+    hot id does not, copies are first collapsed in `spread` groups per id, and
+    what is left once more per id. spread=1 keeps one state per id, not two.
+    """
+    events = events.withWatermark("ingested_at", f"{horizon_days} days")
+    if spread > 1:
+        group = F.pmod(F.xxhash64("ingested_at", "latency_ms"), F.lit(spread))
+        events = events.withColumn("_group", group).dropDuplicatesWithinWatermark(
+            ["request_id", "_group"]).drop("_group")
+    return events.dropDuplicatesWithinWatermark(["request_id"])

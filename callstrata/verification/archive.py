@@ -64,10 +64,17 @@ def src_wire_json(spark, sf_dir):
         *contract.WIRE_COLUMNS)
 
 
+_COLD: dict[tuple[str, str], ColdArchive] = {}
+
+
 def cold_archive(spark: SparkSession, sf_dir: str) -> ColdArchive:
-    archive = ColdArchive(spark, fresh_path(spark, "cold"))
-    archive.write(archived_events(spark, sf_dir), "batch-0")
-    return archive
+    """The archive on disk. Written once per session, read by several queries."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _COLD:
+        archive = ColdArchive(spark, fresh_path(spark, "cold"))
+        archive.write(archived_events(spark, sf_dir), "batch-0")
+        _COLD[key] = archive
+    return _COLD[key]
 
 
 @query(over_wire(f"""SELECT prefix || '/' || kind || '.json.gz' AS s3_key, kind,

@@ -39,7 +39,18 @@ def finish(stream: StreamingQuery) -> None:
     stream.awaitTermination()
 
 
+_ARCHIVES: dict[tuple[str, str], Archive] = {}
+
+
 def streamed_archive(spark: SparkSession, sf_dir: str) -> Archive:
+    """The archive that streaming ingest leaves. One run serves all its tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ARCHIVES:
+        _ARCHIVES[key] = _stream_into_archive(spark, sf_dir)
+    return _ARCHIVES[key]
+
+
+def _stream_into_archive(spark: SparkSession, sf_dir: str) -> Archive:
     """Bodies land in files and go through streaming ingest."""
     landing = fresh_path(spark, "landing")
     messages(spark, sf_dir).select("body").repartition(FILES).write.text(landing)

@@ -11,9 +11,12 @@ from callstrata import contract
 from callstrata.operators.ingest import (
     hot_rows, parse_messages, quarantine_rows, skipped_versions, to_messages, wire_rename,
 )
+from callstrata.operators.dedup import MAX_BROADCAST_KEYS, not_yet_cold
+from callstrata.plans.views import register_views
 from callstrata.session import fresh_path
 from callstrata.sources.wire import stream_messages
 from callstrata.streaming.ingest import Archive, start_ingest
+from callstrata.streaming.windows import dedup_stream
 
 FULL = {
     "schema_version": 1, "request_id": "11111111-2222-4333-8444-555555555555",
@@ -191,3 +194,57 @@ def test_cold_scan_needs_a_vendor(spark, place):
     plan = archive.cold.scan("crif", year="2026")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan.replace("\n", " ") or (
         "vendor_id" in plan.split("PartitionFilters")[1].split("]")[0])
+
+
+def test_views_for_sql(spark, place):
+    archive, folder, checkpoint = place
+    land(spark, folder, "1", body(), body(latency_ms=900, loan_lifecycle_stage="BANK_BRE"),
+         body(vendor_id="crif", request_id=str(uuid.uuid4()), status="FAILURE"))
+    run(spark, archive, folder, checkpoint)
+    names = register_views(archive)
+    assert {"call_events", "call_events_final", "minute_rollup", "mv_crif"} <= set(names)
+    text = """SELECT vendor_id, count(*) AS calls,
+        round(count_if(status <> 'SUCCESS') * 100.0D / count(*), 2) AS failure_rate
+        FROM call_events WHERE vendor_id LIKE :vendor
+        AND created_at BETWEEN :from AND :to GROUP BY vendor_id HAVING calls >= 1
+        ORDER BY vendor_id"""
+    at = {"from": datetime(2026, 5, 1), "to": datetime(2026, 6, 1)}
+    rows = spark.sql(text, args={"vendor": "%", **at}).collect()
+    assert [tuple(r) for r in rows] == [("crif", 1, 100.0), ("karza", 2, 0.0)]
+    assert spark.sql(text, args={"vendor": "k_rza", **at}).count() == 1
+    assert spark.table("call_events_final").count() == 2
+    assert spark.table("mv_crif").count() == 1
+    assert spark.sql("SELECT sum(total) AS n FROM minute_rollup").first().n == 3
+
+
+def test_stream_dedup_collapses_a_hot_id(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [("hot" if i % 3 else f"r{i}", datetime(2024, 1, 1, 0, i // 60, i % 60), i)
+            for i in range(600)]
+    frame = spark.createDataFrame(rows, "request_id string, ingested_at timestamp, latency_ms bigint")
+    frame.repartition(3).write.parquet(folder)
+    for spread in (1, 8):
+        stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        dedup_stream(stream, spread=spread).writeStream.format("parquet").option(
+            "checkpointLocation", str(tmp_path / f"cp{spread}")).trigger(
+            availableNow=True).start(f"{out}{spread}").awaitTermination()
+        kept = [r.request_id for r in spark.read.parquet(f"{out}{spread}").collect()]
+        assert len(kept) == len(set(kept)) == 201
+
+
+def test_large_batches_do_not_broadcast_their_keys(spark, place):
+    archive, folder, checkpoint = place
+    land(spark, folder, "1", body())
+    run(spark, archive, folder, checkpoint)
+    events = spark.createDataFrame(
+        [("k", datetime(2026, 5, 29))], "s3_request_key string, received_at timestamp")
+    keys = archive.cold.request_keys(["2026/05/29"])
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small, large = (
+            not_yet_cold(events, keys, n)._jdf.queryExecution().executedPlan().toString()
+            for n in (1, MAX_BROADCAST_KEYS + 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
