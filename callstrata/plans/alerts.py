@@ -69,15 +69,19 @@ def into_windows(minutes: DataFrame, size: int) -> DataFrame:
     return minutes.withColumn("window_end", F.explode(ends)).drop("minute")
 
 
-def sliding_calls(rows: DataFrame, rule: Rule) -> DataFrame:
-    """Calls by outcome per vendor of the tier and window."""
+def outcome_counts() -> dict[str, Column]:
     status = F.col("status")
-    counts = {
+    return {
         "calls": F.count("*"),
         "successes": F.count_if(status == "SUCCESS"),
         "failures": F.count_if(status.isin(*FAILED_STATUSES)),
         "timeouts": F.count_if(status == "TIMEOUT"),
     }
+
+
+def sliding_calls(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Calls by outcome per vendor of the tier and window."""
+    counts = outcome_counts()
     minutes = of_tier(rows, rule.tier).groupBy(
         minute_of(F.col("created_at")).alias("minute"), "vendor_id"
     ).agg(*[column.alias(name) for name, column in counts.items()])

@@ -7,11 +7,11 @@ consumers that need results while the stream runs and accept a lateness limit.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from callstrata.contract import FAILED_STATUSES, REDELIVERY_HORIZON_DAYS
+from callstrata.contract import REDELIVERY_HORIZON_DAYS
 from callstrata.operators.rollup import ROLLUP_KEYS
-from callstrata.plans.alerts import Rule, of_tier
+from callstrata.plans import alerts
 
 
 def rollup_stream(events: DataFrame, lateness: str = "10 minutes") -> DataFrame:
@@ -25,20 +25,42 @@ def rollup_stream(events: DataFrame, lateness: str = "10 minutes") -> DataFrame:
     )
 
 
-def alert_stream(events: DataFrame, rule: Rule, lateness: str = "10 minutes") -> DataFrame:
-    """Failure rate per vendor over sliding windows, with the condition of a rule."""
-    size = f"{rule.window_minutes} minutes"
-    rate = F.col("failures") * 100.0 / F.col("calls")
+def alert_conditions(tier: str) -> tuple[int, dict[str, Column]]:
+    """Window size in minutes and the conditions of a tier, over alert_stream columns."""
+    rates = alerts.FAILURE_RATE_RULES
+    rate = F.col("failure_rate")
+    if tier == "P2":
+        return rates["p2_rate_high"].window_minutes, {
+            "rate_high": rate > rates["p2_rate_high"].threshold}
+    if tier != "P1":
+        raise ValueError(f"no stream rules for tier {tier}")
+    minutes = rates["p1_rate_high"].window_minutes
+    return minutes, {
+        "rate_high": rate > rates["p1_rate_high"].threshold,
+        "rate_critical": rate > rates["p1_rate_critical"].threshold,
+        "all_failing": F.col("successes") == 0,
+        "latency": F.col("p95_ms") > alerts.P1_LATENCY.threshold,
+        "timeout_spike": F.col("timeouts") > alerts.P1_TIMEOUTS.threshold * minutes * 60,
+    }
+
+
+def alert_stream(events: DataFrame, tier: str, lateness: str = "10 minutes") -> DataFrame:
+    """Sliding windows per vendor of a tier, with the condition of each of its rules.
+
+    The quantile's state holds one counter per distinct latency of a window.
+    """
+    minutes, conditions = alert_conditions(tier)
+    p95 = F.round(F.percentile("latency_ms", 0.95), 6)
     return (
-        of_tier(events, rule.tier)
+        alerts.of_tier(events, tier)
         .withWatermark("created_at", lateness)
-        .groupBy(F.window("created_at", size, "1 minute").alias("w"), "vendor_id")
-        .agg(
-            F.count("*").alias("calls"),
-            F.count_if(F.col("status").isin(*FAILED_STATUSES)).alias("failures"),
-        )
-        .select("vendor_id", F.col("w.end").alias("window_end"), "calls", "failures",
-                rate.alias("failure_rate"), (rate > rule.threshold).alias("breaching"))
+        .groupBy(F.window("created_at", f"{minutes} minutes", "1 minute").alias("w"), "vendor_id")
+        .agg(*[column.alias(name) for name, column in alerts.outcome_counts().items()],
+             p95.alias("p95_ms"))
+        .withColumn("failure_rate", F.col("failures") * 100.0 / F.col("calls"))
+        .select("vendor_id", F.col("w.end").alias("window_end"), *alerts.outcome_counts(),
+                "failure_rate", "p95_ms",
+                *[condition.alias(name) for name, condition in conditions.items()])
     )
 
 

@@ -72,7 +72,9 @@ def cold_archive(spark: SparkSession, sf_dir: str) -> ColdArchive:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _COLD:
         archive = ColdArchive(spark, fresh_path(spark, "cold"))
-        archive.write(archived_events(spark, sf_dir), "batch-0")
+        events = archived_events(spark, sf_dir).persist()
+        archive.write(events, "batch-0")
+        events.unpersist()
         _COLD[key] = archive
     return _COLD[key]
 

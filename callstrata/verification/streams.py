@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from callstrata import contract
 from callstrata.operators.dedup import latest_copy
-from callstrata.plans.alerts import FAILURE_RATE_RULES
 from callstrata.session import fresh_path
 from callstrata.sources.audit import stream_audit
 from callstrata.sources.rollups import RollupTable
@@ -101,7 +100,7 @@ def ingest_stream(spark, sf_dir):
 
 # Events whose time cannot be read are archived under the day of the run.
 @query(over_wire(f"""SELECT request_id, vendor_id, endpoint, status FROM ({_ARCHIVED_SQL})
-    WHERE reason IS NULL OR reason <> 'bad_created_at'"""))
+    WHERE created_at <> 'not-a-date'"""))
 def ingest_stream_cold(spark, sf_dir):
     """Cold metadata after streaming ingest: one per object."""
     return streamed_archive(spark, sf_dir).cold.metadata().where(
@@ -129,7 +128,9 @@ def rollup_of_stream(spark, sf_dir):
 def batch_idempotent(spark, sf_dir):
     """The same batch ingested twice leaves one set of rows."""
     archive = Archive.at(spark, fresh_path(spark, "archive"))
-    batch = messages(spark, sf_dir).drop("delivery")
+    landing = fresh_path(spark, "landing")
+    messages(spark, sf_dir).drop("delivery").repartition(FILES).write.parquet(landing)
+    batch = spark.read.parquet(landing)
     for _ in range(2):
         archive.ingest(batch, 7)
     return archive.hot.raw().agg(F.count("*").alias("hot_rows"))
@@ -159,14 +160,28 @@ def rollup_windows(spark, sf_dir):
         "window_start", "vendor_id", "endpoint", "service", "status"])
 
 
-@query(name="alert_stream", sql=over_hot("SELECT *, rate > 5 AS breaching FROM (" + windows_sql(
-    "P1", 5, f"count(*) AS calls, {_FAILURES} AS failures, "
-    f"{_FAILURES} * 100.0::DOUBLE / count(*) AS rate") + ")").replace(
-        "SELECT *, rate", "SELECT * EXCLUDE (rate), rate AS failure_rate, rate"))
-def alert_rates(spark, sf_dir):
-    rates = alert_stream(
-        hot_stream(spark, sf_dir), FAILURE_RATE_RULES["p1_rate_high"], lateness="1 day")
-    return run_updates(spark, rates, ["vendor_id", "window_end"])
+def _alert_windows_sql(tier: str, minutes: int, conditions: str) -> str:
+    windows = windows_sql(tier, minutes, f"""count(*) AS calls,
+        count(*) FILTER (WHERE status = 'SUCCESS') AS successes, {_FAILURES} AS failures,
+        count(*) FILTER (WHERE status = 'TIMEOUT') AS timeouts,
+        {_FAILURES} * 100.0::DOUBLE / count(*) AS failure_rate,
+        round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms""")
+    return over_hot(f"SELECT *, {conditions} FROM ({windows})")
+
+
+@query(name="alert_stream", sql=_alert_windows_sql("P1", 5, """failure_rate > 5 AS rate_high,
+    failure_rate > 25 AS rate_critical, successes = 0 AS all_failing, p95_ms > 5000 AS latency,
+    timeouts > 300 AS timeout_spike"""))
+def alert_windows_p1(spark, sf_dir):
+    """The five rules of the first tier in one stream."""
+    windows = alert_stream(hot_stream(spark, sf_dir), "P1", lateness="1 day")
+    return run_updates(spark, windows, ["vendor_id", "window_end"])
+
+
+@query(name="alert_stream_p2", sql=_alert_windows_sql("P2", 10, "failure_rate > 10 AS rate_high"))
+def alert_windows_p2(spark, sf_dir):
+    windows = alert_stream(hot_stream(spark, sf_dir), "P2", lateness="1 day")
+    return run_updates(spark, windows, ["vendor_id", "window_end"])
 
 
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
