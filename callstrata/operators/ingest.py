@@ -11,6 +11,9 @@ from callstrata.functions.redaction import redact_payload
 UUID_SHAPE = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 DEFAULT_ENVIRONMENT = "staging"
 
+# Reasons that keep a message out of the cold archive too.
+NOT_ARCHIVED = ("unparseable", "unsupported_version")
+
 
 # -- producer side ------------------------------------------------------------
 
@@ -114,8 +117,7 @@ def hot_rejection() -> Column:
 
 def version_gate(parsed: DataFrame) -> DataFrame:
     """Messages of the supported version that could be parsed."""
-    return parsed.where(~F.coalesce(
-        F.col("reason").isin("unparseable", "unsupported_version"), F.lit(False)))
+    return parsed.where(~F.coalesce(F.col("reason").isin(*NOT_ARCHIVED), F.lit(False)))
 
 
 def skipped_versions(parsed: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callstrata import contract
 from callstrata.operators.ingest import DEFAULT_ENVIRONMENT
-from callstrata.sources.files import path_exists, write_partitions
+from callstrata.sources.files import path_exists, together, write_partitions
 
 PARTITIONS = ("year", "month", "day", "vendor_id", "write_id")
 INDEX_PARTITIONS = ("year", "month", "day", "write_id")
@@ -72,14 +72,17 @@ class ColdArchive:
         An event counts as archived once its key is in the index.
         """
         stamped = F.lit(write_id)
-        write_partitions(
-            payload_documents(events, self.environment).withColumn("write_id", stamped),
-            self.payload_path, PARTITIONS, sort_by=("s3_key",), file_format="json",
-            options={"compression": "gzip", "maxRecordsPerFile": str(ROWS_PER_FILE)})
-        write_partitions(
-            metadata_rows(events).withColumn("write_id", stamped),
-            self.meta_path, PARTITIONS, sort_by=("created_at",), file_format="json",
-            options={"maxRecordsPerFile": str(ROWS_PER_FILE), "ignoreNullFields": "false"})
+        together(
+            self.spark,
+            lambda: write_partitions(
+                payload_documents(events, self.environment).withColumn("write_id", stamped),
+                self.payload_path, PARTITIONS, sort_by=("s3_key",), file_format="json",
+                options={"compression": "gzip", "maxRecordsPerFile": str(ROWS_PER_FILE)}),
+            lambda: write_partitions(
+                metadata_rows(events).withColumn("write_id", stamped),
+                self.meta_path, PARTITIONS, sort_by=("created_at",), file_format="json",
+                options={"maxRecordsPerFile": str(ROWS_PER_FILE), "ignoreNullFields": "false"}),
+        )
         write_partitions(
             events.withColumns(_day_parts()).select(
                 "s3_request_key", *INDEX_PARTITIONS[:3], stamped.alias("write_id")),

@@ -2,11 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run independent writes at the same time, so that their small stages overlap.
+
+    All have ended when this returns; the first error is raised then.
+    """
+    if len(writes) == 1:
+        return writes[0]()
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+    for one in running:
+        one.result()
+
+
 def write_partitions(rows: DataFrame, path: str, partition_by: Sequence[str], *,
                      sort_by: Sequence[str] = (), file_format: str = "parquet",
                      options: dict[str, str] | None = None) -> None:

@@ -9,11 +9,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from callstrata.operators.dedup import not_yet_cold
 from callstrata.operators.ingest import (
-    DEFAULT_ENVIRONMENT, map_hot_row, parse_messages, quarantine_rows, skipped_versions,
-    version_gate, with_cold_keys,
+    DEFAULT_ENVIRONMENT, NOT_ARCHIVED, map_hot_row, parse_messages, quarantine_rows,
+    skipped_versions, version_gate, with_cold_keys,
 )
 from callstrata.sources.cold import ColdArchive
-from callstrata.sources.files import write_partitions
+from callstrata.sources.files import together, write_partitions
 from callstrata.sources.hot import HotTable
 from callstrata.sources.quarantine import Quarantine
 from callstrata.sources.rollups import RollupTable
@@ -48,25 +48,45 @@ class Archive:
 
         Each write is named after the batch and replaces its own earlier try, so
         a batch that failed half-way can simply run again. Bad messages are set
-        aside one by one and do not hold up the others.
+        aside one by one and do not hold up the others. Cold comes before hot.
         """
         write_id = f"batch-{batch_id:012d}"
-        parsed = parse_messages(messages).persist()
+        parsed = with_cold_keys(parse_messages(messages)).persist()
         try:
-            events = with_cold_keys(version_gate(parsed))
-            # Bounded by the calendar days a batch touches, usually one or two.
-            days = {row.cold_day: row["count"]
-                    for row in events.groupBy("cold_day").count().collect()}
-            known = self.cold.request_keys(list(days), except_write=write_id)
-            self.cold.write(not_yet_cold(events, known, sum(days.values())), write_id)
-            self.quarantine.write(quarantine_rows(parsed), write_id, batch_id)
-            write_partitions(
-                skipped_versions(parsed).withColumn("write_id", F.lit(write_id)),
-                self.skipped_path, ("write_id",))
-            hot = map_hot_row(events.where("reason IS NULL"), self.environment)
-            self.hot.write(hot, write_id, batch_id)
-            self.rollup.add(events.where("reason IS NULL").withColumn(
-                "created_at", F.try_to_timestamp("created_at")), write_id)
+            # One row per calendar day and reason: which days to look up, and
+            # which tables get rows at all.
+            counts = parsed.groupBy("cold_day", "reason").count().collect()
+            reasons = {row.reason for row in counts}
+            archived = [row for row in counts if row.reason not in NOT_ARCHIVED]
+            events = version_gate(parsed)
+            good = events.where("reason IS NULL")
+
+            def write_cold() -> None:
+                known = self.cold.request_keys(
+                    [row.cold_day for row in archived], except_write=write_id)
+                size = sum(row["count"] for row in archived)
+                self.cold.write(not_yet_cold(events, known, size), write_id)
+
+            def write_skipped() -> None:
+                rows = skipped_versions(parsed).withColumn("write_id", F.lit(write_id))
+                write_partitions(rows, self.skipped_path, ("write_id",))
+
+            first = [write_cold] if archived else []
+            if reasons - {None, "unsupported_version"}:
+                first.append(
+                    lambda: self.quarantine.write(quarantine_rows(parsed), write_id, batch_id))
+            if "unsupported_version" in reasons:
+                first.append(write_skipped)
+            if first:
+                together(messages.sparkSession, *first)
+            if None in reasons:
+                together(
+                    messages.sparkSession,
+                    lambda: self.hot.write(
+                        map_hot_row(good, self.environment), write_id, batch_id),
+                    lambda: self.rollup.add(
+                        good.withColumn("created_at", F.try_to_timestamp("created_at")), write_id),
+                )
         finally:
             parsed.unpersist()
 
