@@ -56,7 +56,7 @@ def vendor_tier(spark, sf_dir):
         F.count("*").alias("calls"))
 
 
-_FAILURES = "count(*) FILTER (WHERE status <> 'SUCCESS')"
+FAILURES_SQL = "count(*) FILTER (WHERE status <> 'SUCCESS')"
 
 
 def _rate_query(name):
@@ -67,7 +67,7 @@ for _name, _rule in alerts.FAILURE_RATE_RULES.items():
     QUERIES[f"alert_{_name}"] = _rate_query(_name)
     SQL[f"alert_{_name}"] = over_hot(held_sql(
         windows_sql(_rule.tier, _rule.window_minutes,
-                    f"{_FAILURES} * 100.0::DOUBLE / count(*) AS rate"),
+                    f"{FAILURES_SQL} * 100.0::DOUBLE / count(*) AS rate"),
         "rate", f"rate > {_rule.threshold}", _rule.hold_minutes))
 
 
@@ -123,7 +123,7 @@ def alert_p1_timeouts(spark, sf_dir):
 
 
 @query(over_hot(windows_sql("P1", 5, f"""count(*) AS calls,
-    count(*) FILTER (WHERE status = 'SUCCESS') AS successes, {_FAILURES} AS failures,
+    count(*) FILTER (WHERE status = 'SUCCESS') AS successes, {FAILURES_SQL} AS failures,
     count(*) FILTER (WHERE status = 'TIMEOUT') AS timeouts""")))
 def p1_sliding_calls(spark, sf_dir):
     return alerts.sliding_calls(hot_events(spark, sf_dir), alerts.P1_TIMEOUTS)

@@ -11,20 +11,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from callstrata import contract
 from callstrata.operators import dedup, retention
 from callstrata.operators.ingest import (
-    hot_rows, map_hot_row, parse_messages, quarantine_rows, version_gate, with_cold_keys,
+    hot_rows, parse_messages, quarantine_rows, version_gate, with_cold_keys,
 )
 from callstrata.session import fresh_path
 from callstrata.sources.audit import parse_audit
-from callstrata.sources.cold import ColdArchive, document_text, payload_documents
+from callstrata.sources.cold import ColdArchive, document_text
 from callstrata.sources.hot import HotTable
 from callstrata.sources.quarantine import Quarantine, replay_cold, replay_quarantine
 from callstrata.sources.wire import read_messages
 from callstrata.verification.messages import (
-    DAY_SQL, PREFIX_SQL, hot_row_select, messages, over_calls, over_wire,
+    DAY_SQL, PREFIX_SQL, hot_row_select, messages, over_wire,
 )
 from callstrata.verification.panels import over_hot
 from callstrata.verification.registry import Registry
-from callstrata.verification.sample import call_events, hot_events
+from callstrata.verification.sample import hot_events, table
 
 registry = Registry()
 QUERIES, SQL = registry.queries, registry.sql
@@ -45,7 +45,7 @@ def archived_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # One row per archive object: the first delivery.
-_ARCHIVED_SQL = f"""SELECT * FROM (SELECT *, {DAY_SQL} AS cold_day, {PREFIX_SQL} AS prefix,
+ARCHIVED_SQL = f"""SELECT * FROM (SELECT *, {DAY_SQL} AS cold_day, {PREFIX_SQL} AS prefix,
     row_number() OVER (PARTITION BY {PREFIX_SQL} ORDER BY ingested_at, delivery) AS rn FROM w
     WHERE reason IS NULL OR reason NOT IN ('unparseable', 'unsupported_version')) WHERE rn = 1"""
 
@@ -85,7 +85,7 @@ def cold_archive(spark: SparkSession, sf_dir: str) -> ColdArchive:
     || ',"created_at":' || to_json(created_at) || ',"environment":"staging"}},"payload":'
     || to_json(CASE kind WHEN 'request' THEN request_payload ELSE response_payload END) || '}}'
     AS document
-    FROM ({_ARCHIVED_SQL}), (VALUES ('request'), ('response')) AS k(kind)"""))
+    FROM ({ARCHIVED_SQL}), (VALUES ('request'), ('response')) AS k(kind)"""))
 def sink_cold_payload(spark, sf_dir):
     return cold_archive(spark, sf_dir).documents().select(
         "s3_key", "kind", document_text().alias("document"))
@@ -98,7 +98,7 @@ _META_SQL = ", ".join(
     for name in contract.COLD_META_COLUMNS)
 
 
-@query(over_wire(f"SELECT {_META_SQL} FROM ({_ARCHIVED_SQL})"))
+@query(over_wire(f"SELECT {_META_SQL} FROM ({ARCHIVED_SQL})"))
 def sink_cold_meta(spark, sf_dir):
     return cold_archive(spark, sf_dir).metadata().select(
         *[F.col(name).cast("bigint") if name == "latency_ms" else F.col(name)
@@ -107,7 +107,7 @@ def sink_cold_meta(spark, sf_dir):
 
 @query(over_wire(f"""SELECT request_id, CAST(NULL AS VARCHAR) AS correlation_id, vendor_id,
     split_part(cold_day, '/', 1) AS year, split_part(cold_day, '/', 2) AS month,
-    split_part(cold_day, '/', 3) AS day, endpoint, status, latency_ms FROM ({_ARCHIVED_SQL})
+    split_part(cold_day, '/', 3) AS day, endpoint, status, latency_ms FROM ({ARCHIVED_SQL})
     WHERE vendor_id = 'easebuzz' AND cold_day LIKE '2024/01/%'"""))
 def src_cold_scan(spark, sf_dir):
     """Cold metadata of one vendor and month, by partition."""
@@ -151,9 +151,6 @@ def replay_parked(spark, sf_dir):
     return replay_quarantine(parked, hot).drop("delivery")
 
 
-_LOST_TO_COLD = ("vendor_ref_id", "mobile_hash", "error_code", "error_message")
-
-
 @query(over_wire(f"""SELECT request_id, vendor_id, endpoint, user_id, created_at, status,
     latency_ms, request_payload, response_payload, payload_truncated, s3_request_key,
     CASE WHEN lost THEN '' ELSE mobile_hash END AS mobile_hash
@@ -181,8 +178,6 @@ _AUDIT_NAMES = (("view", "GetObject"), ("click", "HeadObject"), ("purchase", "Pu
 
 def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit records in place of events: a view is an object read, and so on."""
-    from callstrata.verification.sample import table
-
     name = F.lit("DeleteObject")
     for event_type, event_name in _AUDIT_NAMES:
         name = F.when(F.col("event_type") == event_type, event_name).otherwise(name)
@@ -237,7 +232,7 @@ def hot_final(spark, sf_dir):
 
 
 @query(over_wire(f"""SELECT prefix || '/request.json.gz' AS s3_request_key, delivery
-    FROM ({_ARCHIVED_SQL}) WHERE prefix NOT IN (SELECT {PREFIX_SQL} FROM w
+    FROM ({ARCHIVED_SQL}) WHERE prefix NOT IN (SELECT {PREFIX_SQL} FROM w
       WHERE (reason IS NULL OR reason NOT IN ('unparseable', 'unsupported_version'))
         AND ingested_at {_DURING})"""))
 def cold_idempotent(spark, sf_dir):
@@ -271,41 +266,41 @@ def compact_final(spark, sf_dir):
 
 # -- retention and tiers ----------------------------------------------------------
 
-# Test time runs 60 times faster, so retention is tested at the same places in it
-# with a clock far enough ahead to cut through the data.
-def _now(days: int):
+
+def clock_after(days: int):
+    """A clock far enough ahead for the retention edge to cut through the data."""
     return F.lit("2024-01-01 06:00:00").cast("timestamp") + F.make_dt_interval(days=F.lit(days))
 
 
-_CUT_SQL = "TIMESTAMP '2024-01-01 06:00:00'"
+CUT_SQL = "TIMESTAMP '2024-01-01 06:00:00'"
 
 
-@query(over_hot(f"SELECT request_id, created_at, delivery FROM v WHERE created_at > {_CUT_SQL}"))
+@query(over_hot(f"SELECT request_id, created_at, delivery FROM v WHERE created_at > {CUT_SQL}"))
 def expire_rows(spark, sf_dir):
-    rows = retention.expire_rows(hot_events(spark, sf_dir), _now(contract.ROW_RETENTION_DAYS))
+    rows = retention.expire_rows(hot_events(spark, sf_dir), clock_after(contract.ROW_RETENTION_DAYS))
     return rows.select("request_id", "created_at", "delivery")
 
 
 @query(over_hot(f"""SELECT request_id, delivery, latency_ms,
-    CASE WHEN created_at <= {_CUT_SQL} THEN '' ELSE request_payload END AS request_payload,
-    CASE WHEN created_at <= {_CUT_SQL} THEN '' ELSE response_payload END AS response_payload
+    CASE WHEN created_at <= {CUT_SQL} THEN '' ELSE request_payload END AS request_payload,
+    CASE WHEN created_at <= {CUT_SQL} THEN '' ELSE response_payload END AS response_payload
     FROM v"""))
 def expire_payloads(spark, sf_dir):
     rows = retention.expire_payloads(
-        hot_events(spark, sf_dir), _now(contract.PAYLOAD_RETENTION_DAYS))
+        hot_events(spark, sf_dir), clock_after(contract.PAYLOAD_RETENTION_DAYS))
     return rows.select("request_id", "delivery", "latency_ms", "request_payload",
                        "response_payload")
 
 
 @query(over_hot(f"""SELECT {', '.join(c for c in contract.HOT_COLUMNS if 'payload' not in c)},
     payload_truncated,
-    CASE WHEN created_at <= {_CUT_SQL} THEN '' ELSE request_payload END AS request_payload,
-    CASE WHEN created_at <= {_CUT_SQL} THEN '' ELSE response_payload END AS response_payload
+    CASE WHEN created_at <= {CUT_SQL} THEN '' ELSE request_payload END AS request_payload,
+    CASE WHEN created_at <= {CUT_SQL} THEN '' ELSE response_payload END AS response_payload
     FROM v"""))
 def expire_payload_partitions(spark, sf_dir):
     """The same on disk: old day partitions rewritten in place."""
     hot = _hot_in_two_writes(spark, sf_dir)
-    hot.blank_payloads(_now(contract.PAYLOAD_RETENTION_DAYS))
+    hot.blank_payloads(clock_after(contract.PAYLOAD_RETENTION_DAYS))
     return hot.raw().select(*contract.HOT_COLUMNS)
 
 
@@ -315,8 +310,6 @@ def expire_payload_partitions(spark, sf_dir):
       strlen(o_orderpriority) AS bytes FROM orders) GROUP BY 1""")
 def tier_label(spark, sf_dir):
     """Orders in place of archive objects: their dates span years."""
-    from callstrata.verification.sample import table
-
     objects = table(spark, sf_dir, "orders").select(
         F.col("o_orderdate").alias("created_at"),
         F.octet_length("o_orderpriority").cast("bigint").alias("object_bytes"))
@@ -329,7 +322,7 @@ def tier_label(spark, sf_dir):
       WHEN hot_copies > 0 THEN 'hot_only' ELSE 'parked_only' END AS verdict
     FROM (SELECT request_id, count(*) AS parked FROM w WHERE reason IN
         ('bad_request_id', 'bad_stage', 'bad_created_at') GROUP BY 1)
-    FULL JOIN (SELECT request_id, count(*) AS cold_copies FROM ({_ARCHIVED_SQL}) GROUP BY 1)
+    FULL JOIN (SELECT request_id, count(*) AS cold_copies FROM ({ARCHIVED_SQL}) GROUP BY 1)
       USING (request_id)
     FULL JOIN (SELECT request_id, count(*) AS hot_copies FROM w WHERE reason IS NULL
         AND NOT ingested_at {_DURING} GROUP BY 1) USING (request_id)"""))

@@ -9,7 +9,7 @@ from callstrata.functions.redaction import redact_payload as redact
 from callstrata.operators.lookups import lookup_by_mobile as find_mobile
 from callstrata.verification.messages import over_calls
 from callstrata.verification.registry import Registry
-from callstrata.verification.sample import call_events, hot_events, table
+from callstrata.verification.sample import call_events, table
 
 registry = Registry()
 QUERIES, SQL = registry.queries, registry.sql

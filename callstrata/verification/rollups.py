@@ -13,7 +13,7 @@ from callstrata.plans.panels import PANELS, run_panel
 from callstrata.session import fresh_path
 from callstrata.sources.hot import HotTable
 from callstrata.sources.rollups import RollupTable
-from callstrata.verification.archive import FINAL_SQL, _CUT_SQL, _now
+from callstrata.verification.archive import CUT_SQL, FINAL_SQL, clock_after
 from callstrata.verification.messages import over_calls
 from callstrata.verification.panels import PANEL_SQL, over_hot
 from callstrata.verification.registry import Registry
@@ -44,10 +44,10 @@ def rollup_merge(spark, sf_dir):
     return table.merged()
 
 
-@query(over_hot(f"SELECT * FROM ({ROLLUP_SQL}) WHERE window_start > {_CUT_SQL}"))
+@query(over_hot(f"SELECT * FROM ({ROLLUP_SQL}) WHERE window_start > {CUT_SQL}"))
 def expire_rollup(spark, sf_dir):
     return retention.expire_rollup(
-        rollup.rollup_1m(hot_events(spark, sf_dir)), _now(contract.ROLLUP_RETENTION_DAYS))
+        rollup.rollup_1m(hot_events(spark, sf_dir)), clock_after(contract.ROLLUP_RETENTION_DAYS))
 
 
 def _vendor_view(vendor):

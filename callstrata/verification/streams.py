@@ -17,10 +17,8 @@ from callstrata.sources.rollups import RollupTable
 from callstrata.sources.wire import stream_messages
 from callstrata.streaming.ingest import Archive, start_ingest
 from callstrata.streaming.windows import alert_stream, dedup_stream, rollup_stream
-from callstrata.verification.archive import (
-    AUDIT_SQL, _ARCHIVED_SQL, _META_SQL, audit_log,
-)
-from callstrata.verification.alerts import windows_sql, _FAILURES
+from callstrata.verification.alerts import FAILURES_SQL, windows_sql
+from callstrata.verification.archive import ARCHIVED_SQL, AUDIT_SQL, audit_log
 from callstrata.verification.messages import hot_row_select, messages, over_wire
 from callstrata.verification.panels import over_hot
 from callstrata.verification.registry import Registry
@@ -99,7 +97,7 @@ def ingest_stream(spark, sf_dir):
 
 
 # Events whose time cannot be read are archived under the day of the run.
-@query(over_wire(f"""SELECT request_id, vendor_id, endpoint, status FROM ({_ARCHIVED_SQL})
+@query(over_wire(f"""SELECT request_id, vendor_id, endpoint, status FROM ({ARCHIVED_SQL})
     WHERE created_at <> 'not-a-date'"""))
 def ingest_stream_cold(spark, sf_dir):
     """Cold metadata after streaming ingest: one per object."""
@@ -162,9 +160,9 @@ def rollup_windows(spark, sf_dir):
 
 def _alert_windows_sql(tier: str, minutes: int, conditions: str) -> str:
     windows = windows_sql(tier, minutes, f"""count(*) AS calls,
-        count(*) FILTER (WHERE status = 'SUCCESS') AS successes, {_FAILURES} AS failures,
+        count(*) FILTER (WHERE status = 'SUCCESS') AS successes, {FAILURES_SQL} AS failures,
         count(*) FILTER (WHERE status = 'TIMEOUT') AS timeouts,
-        {_FAILURES} * 100.0::DOUBLE / count(*) AS failure_rate,
+        {FAILURES_SQL} * 100.0::DOUBLE / count(*) AS failure_rate,
         round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms""")
     return over_hot(f"SELECT *, {conditions} FROM ({windows})")
 

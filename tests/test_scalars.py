@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from callstrata.functions import scalars
-from callstrata.operators.ingest import camel_name, to_messages, truncate_payloads
+from callstrata.operators.ingest import camel_name, truncate_payloads
 
 
 def value_of(spark, column):
