@@ -104,7 +104,7 @@ def hash_aadhaar_last4(last4: Column, key: str) -> Column:
 
 def holds_identifier(text: Column) -> Column:
     """True where a raw PAN or mobile number is left anywhere in the text."""
-    return text.rlike(PAN_SHAPE) | text.rlike(MOBILE_SHAPE)
+    return text.rlike(f"{PAN_SHAPE}|{MOBILE_SHAPE}")
 
 
 def may_hold_pii(request_payload: Column, response_payload: Column) -> Column:

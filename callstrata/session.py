@@ -25,6 +25,14 @@ LOCAL_CONF = {
     "spark.sql.parquet.compression.codec": "zstd",
 }
 
+# State of long horizons belongs on disk, not on the heap: deduplication over
+# eighteen days keeps every id of that time. Set before a stream first starts.
+LARGE_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 # Temporary folders of local sessions without a shared folder, by application.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -52,6 +60,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def keep_large_state(spark: SparkSession) -> SparkSession:
+    """Keep the state of streams started from now on in RocksDB."""
+    for key, value in LARGE_STATE_CONF.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by spark.checkpoint.dir.
 

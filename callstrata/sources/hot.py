@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -100,7 +101,8 @@ class HotTable:
         """Rows and payloads as retention leaves them at `now`, to the exact edge."""
         rows = self.raw()
         edge = cutoff(now, contract.ROW_RETENTION_DAYS)
-        rows = rows.where((F.col("ist_month") >= hot_month(edge)) & (F.col("ist_day") >= hot_day(edge)))
+        rows = rows.where(
+            (F.col("ist_month") >= hot_month(edge)) & (F.col("ist_day") >= hot_day(edge)))
         rows = self._deduplicated(rows) if final else rows
         return expire_payloads(expire_rows(rows, now), now)
 
@@ -144,8 +146,9 @@ class HotTable:
 
     def drop_expired(self, now: datetime, days: int = contract.ROW_RETENTION_DAYS) -> int:
         """Drop day partitions that lie wholly past retention. Days in the hot zone."""
-        # A day is wholly past when the cut-off falls on a later local day.
-        edge = (now - timedelta(days=days) + timedelta(hours=5, minutes=30)).strftime("%Y-%m-%d")
+        # A day is wholly past when the cut-off (in UTC) falls on a later local day.
+        cut = (now - timedelta(days=days)).replace(tzinfo=timezone.utc)
+        edge = cut.astimezone(ZoneInfo(contract.HOT_TIME_ZONE)).strftime("%Y-%m-%d")
         folders = [
             folder for folder in list_folders(self.spark, f"{self.path}/ist_month=*/ist_day=*")
             if partition_value(folder, "ist_day") < edge

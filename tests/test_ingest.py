@@ -13,7 +13,7 @@ from callstrata.operators.ingest import (
 )
 from callstrata.operators.dedup import MAX_BROADCAST_KEYS, not_yet_cold
 from callstrata.plans.views import register_views
-from callstrata.session import fresh_path
+from callstrata.session import LARGE_STATE_CONF, fresh_path, keep_large_state
 from callstrata.sources.wire import stream_messages
 from callstrata.streaming.ingest import Archive, start_ingest
 from callstrata.streaming.windows import dedup_stream
@@ -223,13 +223,18 @@ def test_stream_dedup_collapses_a_hot_id(spark, tmp_path):
             for i in range(600)]
     frame = spark.createDataFrame(rows, "request_id string, ingested_at timestamp, latency_ms bigint")
     frame.repartition(3).write.parquet(folder)
+    before = {key: spark.conf.get(key, None) for key in LARGE_STATE_CONF}
     for spread in (1, 8):
+        if spread == 8:
+            keep_large_state(spark)
         stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(folder)
         dedup_stream(stream, spread=spread).writeStream.format("parquet").option(
             "checkpointLocation", str(tmp_path / f"cp{spread}")).trigger(
             availableNow=True).start(f"{out}{spread}").awaitTermination()
         kept = [r.request_id for r in spark.read.parquet(f"{out}{spread}").collect()]
         assert len(kept) == len(set(kept)) == 201
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def test_large_batches_do_not_broadcast_their_keys(spark, place):
