@@ -94,7 +94,9 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
 def rejection_reason() -> Column:
     version = F.col("schema_version")
-    is_object = F.coalesce(F.col("body").rlike(r"^\s*\{"), F.lit(False))
+    # The parser alone would take a list of objects, and text after an object.
+    body = F.col("body")
+    is_object = F.coalesce(body.rlike(r"^\s*\{") & body.rlike(r"\}\s*\z"), F.lit(False))
     return (
         F.when(F.col("_corrupt").isNotNull() | ~is_object, "unparseable")
         .when(~F.equal_null(version, F.lit(contract.SUPPORTED_SCHEMA_VERSION)),

@@ -84,6 +84,8 @@ def test_each_bad_message_is_set_aside_alone(spark):
         "": "unparseable",
         "null": "unparseable",
         "[" + body() + "]": "unparseable",
+        body() + " x": "unparseable",
+        " " + body() + " \n": None,
         body(latency_ms="many"): "unparseable",
         body(schema_version=2): "unsupported_version",
         json.dumps({k: v for k, v in FULL.items() if k != "schema_version"}):
@@ -95,7 +97,7 @@ def test_each_bad_message_is_set_aside_alone(spark):
     }
     assert reasons(spark, *cases) == list(cases.values())
     parsed = parse_messages(frame(spark, *cases))
-    assert quarantine_rows(parsed).count() == 9
+    assert quarantine_rows(parsed).count() == 10
     assert {row.schema_version for row in skipped_versions(parsed).collect()} == {2, None}
 
 
