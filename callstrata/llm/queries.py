@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from callstrata.llm.common import table
 from callstrata.llm.digest_index import exact_duplicates
+from callstrata.llm.language_id import identify
+from callstrata.llm.quality import quality_scores
 from callstrata.llm.splitters import shard
 from callstrata.verification.registry import Registry
 
@@ -30,3 +32,13 @@ WINDOW same AS (PARTITION BY sha256(coalesce(text, '')))
 """)
 def op8_digest_index(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents")).drop("known")
+
+
+@query()
+def op9_language_id(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_quality(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
