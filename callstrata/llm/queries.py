@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from callstrata.llm.common import table
 from callstrata.llm.digest_index import exact_duplicates
 from callstrata.llm.language_id import identify
+from callstrata.llm.piece_codec import encoded_documents
 from callstrata.llm.quality import quality_scores
 from callstrata.llm.splitters import shard
+from callstrata.llm.token_files import token_digests
 from callstrata.verification.registry import Registry
 
 _registry = Registry()
@@ -17,6 +20,12 @@ SQL = _registry.sql
 query = _registry.query
 
 
+@query()
+def op1_token_files(spark, sf_dir):
+    return token_digests(table(spark, sf_dir, "documents"),
+                         public_tokenizers.path("byte_bpe_50k.json"), 50_257)
+
+
 @query()
 def op2_sampled_splitters(spark, sf_dir):
     return shard(table(spark, sf_dir, "documents"), 24).select(
@@ -24,6 +33,12 @@ def op2_sampled_splitters(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query()
+def op5_piece_codec(spark, sf_dir):
+    return encoded_documents(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
