@@ -10,8 +10,10 @@ from callstrata.llm.digest_index import exact_duplicates
 from callstrata.llm.language_id import identify
 from callstrata.llm.piece_codec import encoded_documents
 from callstrata.llm.quality import quality_scores
+from callstrata.llm.secrets import secret_report
 from callstrata.llm.splitters import shard
 from callstrata.llm.token_files import token_digests
+from callstrata.llm.winnowing import contamination
 from callstrata.verification.registry import Registry
 
 _registry = Registry()
@@ -33,12 +35,59 @@ def op2_sampled_splitters(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query()
+def op4_secret_network(spark, sf_dir):
+    return secret_report(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op5_piece_codec(spark, sf_dir):
     return encoded_documents(table(spark, sf_dir, "documents"),
                              public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query(r"""
+WITH
+  split_docs AS (
+    SELECT doc_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+  split_items AS (
+    SELECT item_id, regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+  item_starts AS (
+    SELECT item_id, w, least(len(w), 13) AS n,
+           unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s
+    FROM split_items WHERE len(w) > 0),
+  item_windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS win FROM item_starts),
+  sizes AS (SELECT DISTINCT n FROM item_windows),
+  doc_starts AS (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM split_docs, sizes
+    WHERE len(w) >= n),
+  doc_windows AS (
+    SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS win FROM doc_starts),
+  found AS (
+    SELECT d.doc_id, d.n, d.s, i.item_id FROM doc_windows d JOIN item_windows i
+    ON d.n = i.n AND d.win = i.win),
+  hit AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
+      SELECT doc_id, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT doc_id, n, s FROM found))
+    GROUP BY doc_id),
+  listed AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items,
+           string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+    FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM split_docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)
+""")
+def op6_winnowing(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
