@@ -10,6 +10,7 @@ from callstrata.llm.digest_index import exact_duplicates
 from callstrata.llm.language_id import identify
 from callstrata.llm.piece_codec import encoded_documents
 from callstrata.llm.quality import quality_scores
+from callstrata.llm.repeat_trees import without_repeats
 from callstrata.llm.secrets import secret_report
 from callstrata.llm.splitters import shard
 from callstrata.llm.token_files import token_digests
@@ -88,6 +89,32 @@ def op6_winnowing(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query(r"""
+WITH
+  split_docs AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+  starts AS (
+    SELECT doc_id, unnest(range(1, len(w) - 48)) AS s, w FROM split_docs WHERE len(w) >= 50),
+  windows AS (SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS win FROM starts),
+  late AS (
+    SELECT doc_id, s FROM (
+      SELECT doc_id, s, min(doc_id) OVER (PARTITION BY win) AS least FROM windows)
+    WHERE least < doc_id),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM late),
+  places AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p
+             FROM split_docs),
+  kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS words, count(*) AS n
+    FROM places ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM split_docs LEFT JOIN kept USING (doc_id)
+""")
+def op7_repeat_trees(spark, sf_dir):
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
