@@ -54,3 +54,11 @@ def bounded_sample(frame: DataFrame, key: Column, limit: int, salt: int = 0,
         F.least(F.lit(1.0), F.lit(float(limit)) / F.count(F.lit(1))).alias("_rate"))
     return (frame.join(F.broadcast(rates), strata).filter(draw < F.col("_rate"))
             .drop("_rate"))
+
+
+def unused(columns: list[str], name: str) -> str:
+    """The name, lengthened until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -18,7 +18,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import checked_broadcast, written
+from callstrata.llm.common import checked_broadcast, unused, written
 from callstrata.session import fresh_path
 
 DEFAULT_BUCKETS = 64
@@ -95,17 +95,18 @@ def without_duplicates(docs: DataFrame) -> DataFrame:
 
     Only rows of groups are looked up; a text that occurs once is not shuffled
     when the list of groups is small."""
+    id_, digest_ = unused(docs.columns, "_id"), unused(docs.columns, "_digest")
     report = written(
         exact_duplicates(docs).filter("group_size > 1")
-        .select(F.col("doc_id").alias("_id"), "kept",
-                F.unhex("text_sha256").alias("_digest")).distinct(), "digest-report")
-    keyed = docs.withColumn("_digest", digest(F.col("text"))).withColumn(
-        "_id", F.col("doc_id").cast("long"))
-    on = (keyed["_digest"] == report["_digest"]) & keyed["_id"].eqNullSafe(report["_id"])
+        .select(F.col("doc_id").alias(id_), "kept",
+                F.unhex("text_sha256").alias(digest_)).distinct(), "digest-report")
+    keyed = docs.withColumns({digest_: digest(F.col("text")),
+                              id_: F.col("doc_id").cast("long")})
+    on = (keyed[digest_] == report[digest_]) & keyed[id_].eqNullSafe(report[id_])
     single = keyed.join(checked_broadcast(report), on, "left_anti")
     stay = report.filter("kept")
     chosen = keyed.join(
         checked_broadcast(stay),
-        (keyed["_digest"] == stay["_digest"]) & keyed["_id"].eqNullSafe(stay["_id"]),
-        "left_semi").dropDuplicates(["_id", "_digest"])
-    return single.drop("_digest", "_id").unionByName(chosen.drop("_digest", "_id"))
+        (keyed[digest_] == stay[digest_]) & keyed[id_].eqNullSafe(stay[id_]),
+        "left_semi").dropDuplicates([id_, digest_])
+    return single.drop(digest_, id_).unionByName(chosen.drop(digest_, id_))

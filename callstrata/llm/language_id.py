@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callstrata.llm.common import bounded_sample, crc32_remainder
+from callstrata.llm.common import bounded_sample, crc32_remainder, unused
 
 #: Labelled rows to learn from, for each language.
 SAMPLE_PER_LANGUAGE = 3000
@@ -121,19 +121,20 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE
     return langs, np.log(matrix).astype(np.float32)
 
 
-def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
-    """All columns of `docs`, and lang_pred, score; from `text` alone."""
+def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], language: str = "lang_pred",
+            sure: str = "score") -> DataFrame:
+    """All columns of `docs`, and the two named ones; from `text` alone."""
     langs, matrix = model
-    names = [*docs.columns, "lang_pred", "score"]
+    names = [*docs.columns, language, sure]
     if len({n.lower() for n in names}) != len(names):
-        raise ValueError("docs must not have columns lang_pred or score")
+        raise ValueError(f"docs must not have columns {language} or {sure}")
     shared = docs.sparkSession.sparkContext.broadcast(matrix)
 
     def score(batches):
         logp = shared.value
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            best, sure = [], []
+            best, scores = [], []
             for _, part in _slices(texts):
                 buckets, ends = _features(part)
                 counts = np.diff(ends, prepend=0)
@@ -149,16 +150,16 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray]) -> DataFrame:
                     odds /= odds.sum(axis=0)
                     top = odds.argmax(axis=0)
                     best += [langs[k] if ok else "und" for k, ok in zip(top, has_letter)]
-                    sure += list(np.where(has_letter, odds.max(axis=0), 0.0))
+                    scores += list(np.where(has_letter, odds.max(axis=0), 0.0))
                 else:
                     best += ["und"] * len(part)
-                    sure += [0.0] * len(part)
+                    scores += [0.0] * len(part)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(best, pa.string()), pa.array(sure, pa.float64())],
+                [*batch.columns, pa.array(best, pa.string()), pa.array(scores, pa.float64())],
                 names=names)
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(language, T.StringType()),
+                           T.StructField(sure, T.DoubleType())])
     return docs.mapInArrow(score, schema)
 
 
@@ -176,8 +177,10 @@ def accepted(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows with a recognised language; `und` and unsure ones go."""
     remainder = crc32_remainder(F.col("doc_id"), 3)
     model = fit(docs.select("doc_id", "text", "lang").filter(remainder != 1))
-    return (predict(docs, model).filter((F.col("lang_pred") != "und") & (F.col("score") >= least))
-            .drop("lang_pred", "score"))
+    language, sure = unused(docs.columns, "lang_pred"), unused(docs.columns, "score")
+    return (predict(docs, model, language, sure)
+            .filter((F.col(language) != "und") & (F.col(sure) >= least))
+            .drop(language, sure))
 
 
 # Workers need not have this package installed.

@@ -205,11 +205,10 @@ class PieceCodec:
 
 def encode(docs: DataFrame, codec: PieceCodec, check: bool = False) -> DataFrame:
     """All columns of `docs` but `text`, and ids; with `check` also
-    round_trip: whether decoding these ids gives the text."""
-    kept = [c for c in docs.columns if c != "text"]
+    round_trip: whether decoding these ids gives the text. Columns of `docs` with these
+    names give way."""
     added = ["ids", *(["round_trip"] if check else [])]
-    if {c.lower() for c in kept} & set(added):
-        raise ValueError("docs must not have columns ids or round_trip")
+    kept = [c for c in docs.columns if c.lower() not in ("text", *added)]
     shared = docs.sparkSession.sparkContext.broadcast(codec)
 
     def run(batches):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from callstrata.llm.common import table
 from callstrata.llm.digest_index import exact_duplicates
+from callstrata.llm.group_prefix_join import near_duplicates
 from callstrata.llm.language_id import identify
 from callstrata.llm.piece_codec import encoded_documents
 from callstrata.llm.quality import quality_scores
@@ -36,6 +37,11 @@ def op2_sampled_splitters(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query()
+def op3_group_prefix_join(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op4_secret_network(spark, sf_dir):
     return secret_report(table(spark, sf_dir, "documents"))
