@@ -15,11 +15,13 @@ Members that occur in one set only link nothing. They fill most prefixes, so mos
 documents leave here, before anything is paired.
 
 Sets with an identical prefix and size form a group. In the list of groups that share a
-member, each is paired with the first one only; pairs are verified on the whole sets,
-and links are merged into components. What is then still apart within a list is
-expanded to all pairs between different components whose sizes allow a link, and
-verified as well. So every link between different components is found, while groups of
-copies cost one pair per member. Identical sets are one node from the start.
+member, each is paired with one only, the one with the fewest members of its own; pairs
+are verified on the whole sets, and links are merged into components. What is then
+still apart within a list is expanded to the pairs of sets between different
+components, as far as their sizes, and the number of their members that other such sets
+have, allow a link; these are verified as well. So no link between different components
+is missed, while groups of copies cost one pair per member. Identical sets are one node
+from the start.
 
 Sets and members are 64-bit hashes.
 
@@ -54,9 +56,6 @@ COUNTED = 0.4
 #: Members that the list of very frequent ones holds, and how often one must occur within
 #: a task's stretch of about CHUNK members to be proposed.
 FREQUENT, CHUNK, OFTEN = 50_000, 2_000_000, 8
-#: Lists with more sets than this are first thinned by another round of firsts.
-LONG_LIST = 64
-ROUNDS = 4
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -178,7 +177,8 @@ def _sets(batches):
 
 def _prefixes(docs: DataFrame, frequent: list[int]) -> DataFrame:
     """node, n, prefix: the members of each set's prefix that another set has, too;
-    whole: whether these are all of its prefix. Sets without any are left out."""
+    alone: how many of its counted members no other set has. Sets without any are left
+    out."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     entries = (docs.select("text").mapInArrow(
         _entries(shared), "node bigint, facts bigint, members array<bigint>")
@@ -198,11 +198,11 @@ def _prefixes(docs: DataFrame, frequent: list[int]) -> DataFrame:
     alone = listed - F.size("found")
     take = F.when(everything, F.size("found").cast("long")).otherwise(length - alone)
     return (by_set
-            .select("node", n.alias("n"), (alone == 0).alias("whole"),
+            .select("node", n.alias("n"), alone.cast("int").alias("alone"),
                     F.slice("found", F.lit(1), F.greatest(take, F.lit(0)).cast("int"))
                     .alias("found"))
             .filter(F.size("found") > 0)
-            .select("node", "n", "whole", F.transform("found", lambda x: x.member)
+            .select("node", "n", "alone", F.transform("found", lambda x: x.member)
                     .alias("prefix")))
 
 
@@ -236,11 +236,11 @@ def linked_sets(docs: DataFrame, frequent: list[int], first_doc: DataFrame) -> D
     doc_id of one document with the set."""
     prefixes = written(_prefixes(docs, frequent), "prefixes")
     groups = written(
-        prefixes.filter("whole").groupBy("n", "prefix").agg(
+        prefixes.filter("alone = 0").groupBy("n", "prefix").agg(
             F.min("node").alias("group"), F.count(F.lit(1)).alias("size"))
         .filter("size > 1").drop("size"), "prefix-groups")
     members = written(
-        prefixes.filter("whole").join(groups, ["n", "prefix"])
+        prefixes.filter("alone = 0").join(groups, ["n", "prefix"])
         .select("node", "n", "group"), "group-members")
     ids = written(prefixes.select("node").join(first_doc, "node").select("doc_id"), "ids")
     sets = written(
@@ -249,41 +249,29 @@ def linked_sets(docs: DataFrame, frequent: list[int], first_doc: DataFrame) -> D
         .join(prefixes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
     # member lists: first of groups, then of all sets
-    postings = written(prefixes.select("node", "n", F.explode("prefix").alias("list")),
+    postings = written(prefixes.select("node", "n", "alone", F.explode("prefix").alias("list")),
                        "postings")
     others = members.filter("node != group").select("node")
     grouped = postings.join(others, "node", "left_anti")
     start = grouped.select("list", "node", "n", F.col("node").alias("component"),
-                           F.col("node").alias("rank"))
+                           F.struct("alone", "node").alias("rank"))
     inside = members.filter("node != group").select(
         F.least("node", "group").alias("a"), F.greatest("node", "group").alias("b"))
     tried = written(_firsts(start).unionByName(inside).distinct(), "pairs")
     links = written(_verified(tried, sets), "links")
     found = components(links)
 
-    for round_number in range(1, ROUNDS + 1):
-        lists = _apart(postings, found, round_number)
-        long = lists.filter(F.col("size") > LONG_LIST)
-        if round_number == ROUNDS or long.isEmpty():
-            break
-        # lists that are long and still apart: pair with another first set
-        fresh = written(
-            _firsts(long).join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = written(_verified(fresh, sets), "links")
-        tried = tried.unionByName(fresh)
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        found = components(links)
-
-    lists = written(_apart(postings, found, 0), "lists")
+    lists = written(_apart(postings, found), "lists")
+    lists = written(lists.join(_common_members(lists, sets), "node"), "lists")
     left = lists.select("list", F.col("node").alias("a"), F.col("n").alias("n_a"),
-                        F.col("component").alias("c_a"))
+                        F.col("component").alias("c_a"), F.col("common").alias("k_a"))
     right = lists.select("list", F.col("node").alias("b"), F.col("n").alias("n_b"),
-                         F.col("component").alias("c_b"))
+                         F.col("component").alias("c_b"), F.col("common").alias("k_b"))
+    most = F.least("k_a", "k_b")
     rest = (left.join(right, "list")
             .filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b"))
-                    & _sizes_fit(F.col("n_a"), F.col("n_b")))
+                    & _sizes_fit(F.col("n_a"), F.col("n_b"))
+                    & (UNDER * most >= OVER * (F.col("n_a") + F.col("n_b") - most)))
             .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
     more = written(_verified(written(rest, "pairs"), sets), "links")
     if more.isEmpty():
@@ -291,16 +279,26 @@ def linked_sets(docs: DataFrame, frequent: list[int], first_doc: DataFrame) -> D
     return components(links.unionByName(more))
 
 
-def _apart(postings: DataFrame, found: DataFrame, salt: int) -> DataFrame:
-    """The lists whose sets are in more than one component, in a rank by hash."""
+def _apart(postings: DataFrame, found: DataFrame) -> DataFrame:
+    """The lists whose sets are in more than one component."""
     known = postings.join(found.select("node", F.col("component").alias("_c")), "node", "left")
     labelled = written(known.select("list", "node", "n",
                                     F.coalesce("_c", "node").alias("component")), "labelled")
     mixed = (labelled.groupBy("list").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"),
-        F.count(F.lit(1)).alias("size")).filter("x != y").select("list", "size"))
-    return labelled.join(written(mixed, "mixed-lists"), "list").withColumn(
-        "rank", F.xxhash64("node", F.lit(salt)))
+        F.min("component").alias("x"), F.max("component").alias("y"))
+        .filter("x != y").select("list"))
+    return labelled.join(written(mixed, "mixed-lists"), "list")
+
+
+def _common_members(lists: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, common: how many of its members another set in these lists has, too. No
+    two of the sets share more than the smaller of their numbers."""
+    members = (sets.join(written(lists.select("node").distinct(), "apart"), "node", "left_semi")
+               .select("node", F.explode("members").alias("member")))
+    same = W.partitionBy("member")
+    return (members.withColumn("x", F.min("node").over(same))
+            .withColumn("y", F.max("node").over(same)).filter("x != y")
+            .groupBy("node").agg(F.count(F.lit(1)).alias("common")))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
