@@ -12,9 +12,10 @@ memory-mapped file and read without a copy.
 `manifest` is a table with one row per file pair, committed by Spark. A task that runs
 twice leaves files that no manifest row names; they are removed after the commit.
 
-Ids come from the tokenizers library. A text is cut at single spaces and line ends
-between printable characters, where this byte-level tokenizer always ends a word;
-the pieces' ids are kept in a bounded cache that a worker uses again in later tasks.
+Ids come from the tokenizers library, for a byte-level BPE vocabulary with the usual
+word pattern. A text is cut at single spaces and line ends between visible characters,
+where that pattern always ends a word; the pieces' ids are kept in a bounded cache that
+a worker uses again in later tasks. A text with other white space is encoded in one go.
 
 Defined results: a NULL or empty text has the end id only. Documents are in ascending
 doc_id order, NULL ids first, rows of one id by a hash of their text; repeated rows
@@ -28,6 +29,7 @@ import re
 import sys
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -43,13 +45,26 @@ from callstrata.session import fresh_path
 LENGTH = 2048
 BATCH_SEQUENCES = 64
 END_ID = 0
-CACHE = 300_000
+CACHE = 800_000
 #: a piece longer than this is encoded anew each time, so that the cache stays small
 CACHED_LENGTH = 64
 
-_PRINTABLE = "[!-~¡-¬®-ɏ]"
-_LINE = re.compile(f"(?<={_PRINTABLE})\n(?={_PRINTABLE})")
-_SPACE = re.compile(f"(?<={_PRINTABLE}) (?={_PRINTABLE})")
+# Visible characters up to U+024F. Between two of them a single space or line end is
+# always where the tokenizer's word pattern ends a word.
+_VISIBLE = "!-~¡-¬®-ɏ"
+_UNEVEN = re.compile(f"^[ \n]|[^{_VISIBLE}][ \n]|[ \n](?:[^{_VISIBLE}]|$)")
+# Within these the pattern's classes of letters and digits are plain ranges.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = re.compile(f"[!-~{_LETTERS}]*")
+_WORD = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary: itself where
+    it is visible, else the next one from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class CachedEncoder:
@@ -58,67 +73,79 @@ class CachedEncoder:
 
     def __init__(self, definition: str, dtype: str):
         self.definition, self.dtype = definition, dtype
+        self.code = "H" if dtype == "<u2" else "I"
+        self.characters = _byte_characters()
+        self._forget()
+
+    def _forget(self):
         self.tokenizer = None
-        self.recent: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        #: ids of " " + piece, of pieces without a space, of single words
+        self.spaced: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def __getstate__(self):
-        return {"definition": self.definition, "dtype": self.dtype, "tokenizer": None,
-                "recent": {}, "older": {}}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
+        return {"definition": self.definition, "dtype": self.dtype,
+                "code": self.code, "characters": self.characters}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
+
+    def _start(self):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(self.definition)
+        self.tokenizer.encode_special_tokens = True
+        self.line_end = self._library("\n")
+
+    def _library(self, text: str) -> bytes:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, self.dtype).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Ids of what the pattern takes as one word."""
+        ids = self.words.get(word)
+        if ids is None:
+            if len(self.words) >= CACHE:
+                self.words.clear()
+            shown = word.encode().decode("latin-1").translate(self.characters)
+            ids = self.words[word] = array(
+                self.code, [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        return ids
+
+    def _piece(self, piece: str, space: str) -> bytes:
+        known = self.spaced if space else self.first
+        ids = known.get(piece)
+        if ids is None:
+            if len(piece) > CACHED_LENGTH:
+                return self._library(space + piece)
+            if len(known) >= CACHE:
+                known.clear()
+            ids = known[piece] = (
+                b"".join(map(self._word, _WORD.findall(space + piece)))
+                if _PLAIN.fullmatch(piece) else self._library(space + piece))
+        return ids
+
+    def encode(self, text: str) -> bytes:
         if self.tokenizer is None:
-            from tokenizers import Tokenizer
-
-            self.tokenizer = Tokenizer.from_str(self.definition)
-            self.tokenizer.encode_special_tokens = True
-        return [np.array(e.ids, self.dtype).tobytes()
-                for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
-        missing: dict[str, None] = {}
-        recent, older = self.recent, self.older
-        for text in texts:
-            pieces = []
-            for number, line in enumerate(_LINE.split(text)):
-                if number:
-                    pieces.append("\n")
-                words = _SPACE.split(line)
-                pieces.append(words[0])
-                pieces += [" " + w for w in words[1:]]
-            cut.append(pieces)
-            for piece in pieces:
-                if piece not in recent:
-                    known = older.get(piece)
-                    if known is None:
-                        missing[piece] = None
-                    else:
-                        recent[piece] = known
-        wanted = list(missing)
-        extra: dict[str, bytes] = {}
-        for at in range(0, len(wanted), 2000):
-            part = wanted[at:at + 2000]
-            for piece, ids in zip(part, self._encode(part)):
-                (recent if len(piece) <= CACHED_LENGTH else extra)[piece] = ids
-        found = [b"".join([recent[p] if p in recent else extra[p] for p in pieces])
-                 for pieces in cut] if extra else [
-            b"".join([recent[p] for p in pieces]) for pieces in cut]
-        if len(recent) > CACHE:
-            self.older, self.recent = recent, {}
-        return found
-
-
-def _slices(texts: list[str | None], chars: int = 1 << 20):
-    part, size = [], 0
-    for text in texts:
-        part.append(text or "")
-        size += len(part[-1])
-        if size >= chars:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+            self._start()
+        if not text or _UNEVEN.search(text):
+            return self._library(text) if text else b""
+        pieces = text.split(" ")
+        found = list(map(self.spaced.get, pieces))
+        found[0] = None
+        if None in found:
+            at = -1
+            for _ in range(found.count(None)):
+                at = found.index(None, at + 1)
+                space = " " if at else ""
+                first, *lines = pieces[at].split("\n")
+                ids = self._piece(first, space)
+                if lines:
+                    ids = self.line_end.join([ids, *(self._piece(x, "") for x in lines)])
+                found[at] = ids
+        return b"".join(found)
 
 
 def sequence_schema(length: int, dtype: str) -> pa.Schema:
@@ -242,11 +269,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, vocabul
                 writer = _Writer(sinks[0], length, dtype)
                 index = pa.ipc.new_stream(sinks[1], DOCUMENT_SCHEMA)
             starts, counts = [], []
-            for part in _slices(batch.column("text").to_pylist()):
-                for ids in encoder.value.encode(part):
-                    starts.append(writer.tokens)
-                    writer.add(ids + end)
-                    counts.append(writer.tokens - starts[-1])
+            for text in batch.column("text").to_pylist():
+                starts.append(writer.tokens)
+                writer.add(encoder.value.encode(text or "") + end)
+                counts.append(writer.tokens - starts[-1])
             n_docs += len(starts)
             index.write_batch(pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(starts, pa.int64()),
