@@ -58,7 +58,7 @@ def main() -> None:
     rollup = RollupTable(spark, fresh_path(spark, "bench-rollup"))
     timed("rollup_write", lambda: rollup.add(hot.raw(), "batch-0"))
     archive = Archive.at(spark, fresh_path(spark, "bench-archive"))
-    timed("ingest_batch", lambda: archive.ingest(spark.read.parquet(landed), 0))
+    timed("ingest_batch", lambda: archive.ingest(spark.read.parquet(landed), 0, source="bench"))
     timed("redact_payloads", lambda: run(spark.read.parquet(payloads).select(
         redact_payload(F.col("request_payload")).alias("a"),
         redact_payload(F.col("response_payload")).alias("b"))))

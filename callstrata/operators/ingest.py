@@ -97,8 +97,13 @@ def rejection_reason() -> Column:
     # The parser alone would take a list of objects, and text after an object.
     body = F.col("body")
     is_object = F.coalesce(body.rlike(r"^\s*\{") & body.rlike(r"\}\s*\z"), F.lit(False))
+    # A newer version may have other types: it is skipped before types are judged.
+    stated = F.get_json_object("body", "$.schema_version")
+    other = F.coalesce(stated != str(contract.SUPPORTED_SCHEMA_VERSION), F.lit(False))
     return (
-        F.when(F.col("_corrupt").isNotNull() | ~is_object, "unparseable")
+        F.when(~is_object, "unparseable")
+        .when(F.col("_corrupt").isNotNull() & other, "unsupported_version")
+        .when(F.col("_corrupt").isNotNull(), "unparseable")
         .when(~F.equal_null(version, F.lit(contract.SUPPORTED_SCHEMA_VERSION)),
               "unsupported_version")
         .otherwise(hot_rejection())

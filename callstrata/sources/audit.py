@@ -8,7 +8,7 @@ from callstrata.contract import AUDIT_SCHEMA
 
 
 def parse_audit(lines: DataFrame, column: str = "value") -> DataFrame:
-    """JSON audit records to columns; what does not parse is dropped."""
+    """JSON audit records to columns; what does not parse is left to `rejected_audit`."""
     record = F.from_json(column, AUDIT_SCHEMA, {"mode": "PERMISSIVE"})
     return (
         lines.select(record.alias("r"))
@@ -24,6 +24,15 @@ def parse_audit(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
+def rejected_audit(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The lines that `parse_audit` leaves out, with the number of times they occur."""
+    record = F.from_json(column, AUDIT_SCHEMA, {"mode": "PERMISSIVE"})
+    return (
+        lines.where(record["eventName"].isNull())
+        .groupBy(F.col(column).alias("line")).agg(F.count("*").alias("records"))
+    )
+
+
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return parse_audit(spark.read.text(path))
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callstrata import contract
+from callstrata.functions import scalars
 from callstrata.operators.ingest import DEFAULT_ENVIRONMENT
+from callstrata.session import prepare
 from callstrata.sources.files import path_exists, together, write_partitions
 
 PARTITIONS = ("year", "month", "day", "vendor_id", "write_id")
@@ -60,7 +62,7 @@ def metadata_rows(events: DataFrame) -> DataFrame:
 
 class ColdArchive:
     def __init__(self, spark: SparkSession, path: str, environment: str = DEFAULT_ENVIRONMENT):
-        self.spark = spark
+        self.spark = prepare(spark)  # days and minutes are cut in UTC
         self.payload_path = f"{path}/payload"
         self.meta_path = f"{path}/meta"
         self.index_path = f"{path}/index"
@@ -110,7 +112,8 @@ class ColdArchive:
         for name, value in (("year", year), ("month", month), ("day", day)):
             if value is not None:
                 rows = rows.where(F.col(name) == value)
-        return rows.drop("write_id")
+        return rows.drop("write_id").withColumn(
+            "latency_ms", F.expr("try_cast(latency_ms AS INT)"))
 
     def request_keys(self, days: list[str], except_write: str | None = None) -> DataFrame:
         """Request keys archived on the given days (`yyyy/MM/dd`).
@@ -128,18 +131,19 @@ class ColdArchive:
 
     def events(self) -> DataFrame:
         """Archived events joined again from metadata and their two documents."""
-        documents = self.documents()
-        payload = {
-            kind: F.max(F.when(F.col("kind") == kind, F.col("payload"))).alias(f"{kind}_payload")
-            for kind in ("request", "response")
-        }
-        key = {
-            kind: F.max(F.when(F.col("kind") == kind, F.col("s3_key"))).alias(f"s3_{kind}_key")
-            for kind in ("request", "response")
-        }
-        pairs = documents.groupBy(F.col("meta.request_id").alias("request_id")).agg(
-            *payload.values(), *key.values())
-        return self.metadata().join(pairs, "request_id")
+        prefix = scalars.cold_prefix(
+            F.concat_ws("/", "year", "month", "day"), F.col("vendor_id"), F.col("endpoint"),
+            F.col("user_id"), F.col("request_id"))
+        rows = self.metadata()
+        for kind in ("request", "response"):
+            key = f"s3_{kind}_key"
+            side = (
+                self.documents().where(F.col("kind") == kind)
+                .groupBy(F.col("s3_key").alias(key))
+                .agg(F.max("payload").alias(f"{kind}_payload"))
+            )
+            rows = rows.withColumn(key, scalars.cold_key(prefix, kind)).join(side, key)
+        return rows
 
 
 def _on_days(days: list[str]) -> Column:

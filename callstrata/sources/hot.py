@@ -13,7 +13,7 @@ from callstrata.functions.scalars import hot_day, hot_month
 from callstrata.operators.dedup import hot_final
 from callstrata.operators.lookups import LOOKUP_COLUMNS
 from callstrata.operators.retention import cutoff, expire_payloads, expire_rows
-from callstrata.session import fresh_path
+from callstrata.session import fresh_path, prepare
 from callstrata.sources.files import (
     drop_folder, list_folders, partition_value, path_exists, write_partitions,
 )
@@ -24,7 +24,7 @@ BLOOM_COLUMNS = tuple(name for name in LOOKUP_COLUMNS if name != "status")
 
 
 def parquet_options(distinct_per_group: int = 1_000_000) -> dict[str, str]:
-    """Compression, and bloom filters on the lookup columns."""
+    """Compression, and bloom filters on the lookup columns for so many values."""
     options = {"compression": "zstd"}
     for name in BLOOM_COLUMNS:
         options[f"parquet.bloom.filter.enabled#{name}"] = "true"
@@ -36,14 +36,16 @@ class HotTable:
     """Parquet files below one path. Every write has an id and replaces only itself."""
 
     def __init__(self, spark: SparkSession, path: str, distinct_per_group: int = 1_000_000):
-        self.spark = spark
+        self.spark = prepare(spark)  # days and minutes are cut in UTC
         self.path = path.rstrip("/")
-        self.options = parquet_options(distinct_per_group)
+        self.distinct_per_group = distinct_per_group
 
     # -- writing --
 
-    def write(self, rows: DataFrame, write_id: str, batch_id: int = 0) -> None:
-        """Append a batch; writing the same batch again replaces it."""
+    def write(self, rows: DataFrame, write_id: str, batch_id: int = 0,
+              size: int | None = None) -> None:
+        """Append a batch; writing the same batch again replaces it. Its `size` in rows,
+        if known, bounds the bloom filters: those of a small batch are small."""
         if "batch_id" not in rows.columns:
             rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         rows = rows.select(*contract.HOT_COLUMNS, F.col("batch_id").cast("bigint"))
@@ -51,11 +53,12 @@ class HotTable:
             "ist_month": hot_month(F.col("created_at")),
             "ist_day": hot_day(F.col("created_at")),
             "write_id": F.lit(write_id),
-        }))
+        }), size)
 
-    def _write(self, rows: DataFrame) -> None:
-        write_partitions(
-            rows, self.path, PARTITIONS, sort_by=("created_at",), options=self.options)
+    def _write(self, rows: DataFrame, size: int | None = None) -> None:
+        distinct = min(self.distinct_per_group, max(size or self.distinct_per_group, 1))
+        write_partitions(rows, self.path, PARTITIONS, sort_by=("created_at",),
+                         options=parquet_options(distinct))
 
     # -- reading --
 
@@ -157,12 +160,12 @@ class HotTable:
             drop_folder(self.spark, folder)
         return len(folders)
 
-    def blank_payloads(self, now: Column, days: int = contract.PAYLOAD_RETENTION_DAYS) -> DataFrame:
+    def blank_payloads(self, now: Column, days: int = contract.PAYLOAD_RETENTION_DAYS) -> int:
         """Empty the payloads of old rows by rewriting the day partitions they are in.
 
         The new rows are first written beside the table: a partition is never
         overwritten by a job that reads it. Partitions already empty stay.
-        Returns the rewritten rows.
+        Returns the number of rewritten rows.
         """
         edge = cutoff(now, days)
         old_days = self.raw().where(F.col("ist_day") <= hot_day(edge))
@@ -178,7 +181,11 @@ class HotTable:
         old_rows = old_days.join(F.broadcast(still_full), list(PARTITIONS), "left_semi")
         rewritten = expire_payloads(old_rows, now, days)
         staging = fresh_path(self.spark, "blanked")
-        rewritten.write.parquet(staging)
-        staged = self.spark.read.schema(contract.HOT_TABLE_SCHEMA).parquet(staging)
-        self._write(staged)
-        return staged
+        # The copy holds payloads past their time: it goes, whatever happens.
+        try:
+            rewritten.write.parquet(staging)
+            staged = self.spark.read.schema(contract.HOT_TABLE_SCHEMA).parquet(staging)
+            self._write(staged)
+            return staged.count()
+        finally:
+            drop_folder(self.spark, staging)

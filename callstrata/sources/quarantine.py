@@ -11,6 +11,7 @@ from callstrata.operators.dedup import hot_final
 from callstrata.operators.ingest import (
     DEFAULT_ENVIRONMENT, hot_rejection, hot_rows, map_hot_row,
 )
+from callstrata.session import prepare
 from callstrata.sources.files import (
     drop_folder, list_folders, partition_value, path_exists, write_partitions,
 )
@@ -20,7 +21,7 @@ PARTITIONS = ("parked_day", "write_id")
 
 class Quarantine:
     def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
+        self.spark = prepare(spark)  # days and minutes are cut in UTC
         self.path = path.rstrip("/")
 
     def write(self, rows: DataFrame, write_id: str, batch_id: int = 0) -> None:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callstrata import contract
 from callstrata.operators.rollup import ROLLUP_KEYS, rollup_1m, rollup_merge
+from callstrata.session import prepare
 from callstrata.sources.files import (
     drop_folder, list_folders, partition_value, path_exists, write_partitions,
 )
@@ -17,7 +18,7 @@ PARTITIONS = ("rollup_day", "write_id")
 
 class RollupTable:
     def __init__(self, spark: SparkSession, path: str):
-        self.spark = spark
+        self.spark = prepare(spark)  # days and minutes are cut in UTC
         self.path = path.rstrip("/")
 
     def add(self, hot_rows: DataFrame, write_id: str) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,14 +45,17 @@ class Archive:
             environment=environment,
         )
 
-    def ingest(self, messages: DataFrame, batch_id: int) -> None:
+    def ingest(self, messages: DataFrame, batch_id: int, *, source: str) -> None:
         """Archive one batch of messages: `body` and `received_at`.
 
-        Each write is named after the batch and replaces its own earlier try, so
-        a batch that failed half-way can simply run again. Bad messages are set
-        aside one by one and do not hold up the others. Cold comes before hot.
+        Each write is named after its source and batch and replaces its own earlier
+        try, so a batch that failed half-way can simply run again, and batches of
+        equal number from two sources do not meet. Bad messages are set aside one by
+        one and do not hold up the others. Cold comes before hot.
         """
-        write_id = f"batch-{batch_id:012d}"
+        if not re.fullmatch(r"[A-Za-z0-9._-]+", source):
+            raise ValueError("a source is named by letters, digits, dots and dashes")
+        write_id = f"{source}-{batch_id:012d}"
         parsed = with_cold_keys(parse_messages(messages)).persist()
         try:
             # One row per calendar day and reason: which days to look up, and
@@ -83,7 +88,8 @@ class Archive:
                 together(
                     messages.sparkSession,
                     lambda: self.hot.write(
-                        map_hot_row(good, self.environment), write_id, batch_id),
+                        map_hot_row(good, self.environment), write_id, batch_id,
+                        sum(row["count"] for row in counts if row.reason is None)),
                     lambda: self.rollup.add(
                         good.withColumn("created_at", F.try_to_timestamp("created_at")), write_id),
                 )
@@ -91,6 +97,12 @@ class Archive:
             parsed.unpersist()
 
 
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps in its checkpoint: the same after a restart, another
+    one for a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value)["id"]
+
+
 def start_ingest(messages: DataFrame, archive: Archive, checkpoint: str, *,
                  every: str | None = "5 seconds") -> StreamingQuery:
     """Run ingest on a stream of bodies; every=None handles what is there and ends."""
@@ -100,8 +112,12 @@ def start_ingest(messages: DataFrame, archive: Archive, checkpoint: str, *,
         # repeated batch gets the same time again.
         messages = messages.withColumn("received_at", F.current_timestamp())
 
+    identity: list[str] = []
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        archive.ingest(batch, batch_id)
+        if not identity:
+            identity.append(stream_identity(batch.sparkSession, checkpoint))
+        archive.ingest(batch, batch_id, source=identity[0])
 
     writer = messages.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}

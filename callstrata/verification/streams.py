@@ -130,7 +130,7 @@ def batch_idempotent(spark, sf_dir):
     messages(spark, sf_dir).drop("delivery").repartition(FILES).write.parquet(landing)
     batch = spark.read.parquet(landing)
     for _ in range(2):
-        archive.ingest(batch, 7)
+        archive.ingest(batch, 7, source="messages")
     return archive.hot.raw().agg(F.count("*").alias("hot_rows"))
 
 

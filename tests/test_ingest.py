@@ -255,3 +255,61 @@ def test_large_batches_do_not_broadcast_their_keys(spark, place):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
+
+
+def test_streams_with_own_checkpoints_do_not_overwrite_each_other(spark, place):
+    archive = place[0]
+    ids = [str(uuid.uuid4()) for _ in range(3)]
+    folders = [fresh_path(spark, "landing") for _ in range(2)]
+    for folder, request in zip(folders, ids):
+        land(spark, folder, "1", body(request_id=request))
+        run(spark, archive, folder, fresh_path(spark, "checkpoint"))
+    land(spark, folders[0], "2", body(request_id=ids[2]))
+    run(spark, archive, folders[0], fresh_path(spark, "checkpoint"))  # starts at batch 0 again
+    assert {r.request_id for r in archive.hot.raw().collect()} == set(ids)
+    assert {r.request_id for r in archive.cold.metadata().collect()} == set(ids)
+    assert archive.rollup.merged().agg(F.sum("total")).first()[0] == 4
+    with pytest.raises(ValueError, match="source"):
+        archive.ingest(frame(spark, body()), 0, source="a/b")
+
+
+def test_newer_versions_are_skipped_before_types_are_judged(spark):
+    assert reasons(
+        spark, body(schema_version=2, latency_ms="fast"), body(latency_ms="fast")
+    ) == ["unsupported_version", "unparseable"]
+
+
+def test_archived_events_get_their_own_payloads(spark, place):
+    archive = place[0]
+    archive.ingest(frame(
+        spark, body(user_id="u1", request_payload='{"k":1}', latency_ms=3_000_000_000),
+        body(user_id="u2", request_payload='{"k":2}')), 0, source="test")
+    rows = {r.user_id: r for r in archive.cold.events().collect()}
+    assert {u: r.request_payload for u, r in rows.items()} == {"u1": '{"k":1}', "u2": '{"k":2}'}
+    assert rows["u1"].latency_ms == 3_000_000_000, "wide numbers do not lose the row"
+    assert archive.cold.scan("karza").where("latency_ms IS NULL").count() == 1
+
+
+def test_tables_set_the_zone_they_depend_on(spark):
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        Archive.at(spark, fresh_path(spark, "archive"))
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_small_files_have_small_filters(spark, place):
+    archive = place[0]
+    archive.ingest(frame(spark, body()), 0, source="test")
+    files = archive.hot.raw().select("_metadata.file_size").collect()
+    assert all(f.file_size < 200_000 for f in files)
+
+
+def test_audit_lines_that_do_not_parse_are_kept(spark):
+    from callstrata.sources.audit import parse_audit, rejected_audit
+
+    lines = spark.createDataFrame(
+        [('{"eventName":"GetObject"}',), ("{ broken",), ("{ broken",)], "value string")
+    assert parse_audit(lines).count() == 1
+    assert [tuple(r) for r in rejected_audit(lines).collect()] == [("{ broken", 2)]
