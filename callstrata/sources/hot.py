@@ -39,6 +39,7 @@ class HotTable:
         self.spark = prepare(spark)  # days and minutes are cut in UTC
         self.path = path.rstrip("/")
         self.distinct_per_group = distinct_per_group
+        self.options = parquet_options(distinct_per_group)
 
     # -- writing --
 
@@ -56,9 +57,10 @@ class HotTable:
         }), size)
 
     def _write(self, rows: DataFrame, size: int | None = None) -> None:
-        distinct = min(self.distinct_per_group, max(size or self.distinct_per_group, 1))
-        write_partitions(rows, self.path, PARTITIONS, sort_by=("created_at",),
-                         options=parquet_options(distinct))
+        options = self.options
+        if size is not None:
+            options = parquet_options(min(self.distinct_per_group, max(size, 1)))
+        write_partitions(rows, self.path, PARTITIONS, sort_by=("created_at",), options=options)
 
     # -- reading --
 
