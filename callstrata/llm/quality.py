@@ -35,19 +35,25 @@ BUCKETS = 1 << 16
 #: a word equal to the one before it adds this feature
 AGAIN = BUCKETS - 1
 DIMENSIONS = 12
-NGRAMS = (1, 2, 3, 4)
+NGRAMS = (1, 3)
 EPOCHS, RATE, BATCH, SEED = 12, 60.0, 32, 10
-CACHE = 300_000
+CACHE = 600_000
 THRESHOLD = 0.3
 
 
 def word_features(word: str) -> list[int]:
     """Bucket of the word and of each n-gram of it, its ends marked."""
     framed = f"<{word}>"
-    pieces = [framed]
-    for n in NGRAMS:
-        pieces += [framed[i:i + n] for i in range(len(framed) - n + 1)]
-    return [zlib.crc32(p.encode("utf-8", "surrogatepass")) % AGAIN for p in pieces]
+    if framed.isascii():  # bytes are characters
+        pieces = [data := framed.encode()]
+        for n in NGRAMS:
+            pieces += [data[i:i + n] for i in range(len(data) - n + 1)]
+    else:
+        pieces = [framed.encode("utf-8", "surrogatepass")]
+        for n in NGRAMS:
+            pieces += [framed[i:i + n].encode("utf-8", "surrogatepass")
+                       for i in range(len(framed) - n + 1)]
+    return [h % AGAIN for h in map(zlib.crc32, pieces)]
 
 
 def _sparse(batches):
@@ -121,30 +127,44 @@ def fit(labelled: DataFrame, limit: int = SAMPLE) -> tuple[np.ndarray, float]:
     return weights.astype(np.float32), float(bias[1] - bias[0])
 
 
+class WordScores(dict):
+    """Sum and number of a word's features. It is broadcast: what it keeps serves all
+    tasks of a worker."""
+
+    def __init__(self, weights: np.ndarray):
+        super().__init__()
+        self.weights = weights
+
+    def __reduce__(self):
+        return WordScores, (self.weights,)
+
+    def __missing__(self, word: str) -> tuple[float, int]:
+        if not self:
+            self.each = self.weights.tolist()
+        elif len(self) >= CACHE:
+            self.clear()
+        features = word_features(word)
+        found = self[word] = (sum(map(self.each.__getitem__, features)), len(features))
+        return found
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """All columns of `docs` but `text`, and score."""
     weights, bias = model
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = docs.sparkSession.sparkContext.broadcast(WordScores(weights))
     kept = [c for c in docs.columns if c != "text"]
 
     def run(batches):
-        per_feature = shared.value
-        weight_again = float(per_feature[AGAIN])
-        cache: dict[str, tuple[float, int]] = {}
+        known = shared.value
+        weight_again = float(known.weights[AGAIN])
         for batch in batches:
             scores = []
             for text in batch.column("text").to_pylist():
                 total, n, before = 0.0, 0, None
                 for word in (text or "").split():
-                    found = cache.get(word)
-                    if found is None:
-                        if len(cache) >= CACHE:
-                            cache.clear()
-                        features = word_features(word)
-                        found = cache[word] = (
-                            float(per_feature[features].sum()), len(features))
-                    total += found[0]
-                    n += found[1]
+                    add, more = known[word]
+                    total += add
+                    n += more
                     if word == before:
                         total += weight_again
                         n += 1
