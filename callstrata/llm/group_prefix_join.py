@@ -18,10 +18,15 @@ Sets with an identical prefix and size form a group. In the list of groups that
 member, each is paired with one only, the one with the fewest members of its own; pairs
 are verified on the whole sets, and links are merged into components. What is then
 still apart within a list is expanded to the pairs of sets between different
-components, as far as their sizes, and the number of their members that other such sets
-have, allow a link; these are verified as well. So no link between different components
-is missed, while groups of copies cost one pair per member. Identical sets are one node
-from the start.
+components, as far as their sizes, the number of their members that other such sets
+have, and their sketches allow a link; these are verified as well. So no link between
+different components is missed, while groups of copies cost one pair per member.
+Identical sets are one node from the start.
+
+A sketch holds, for each of 1,024 hash values, whether an odd number of members has it.
+Where two sketches differ, the sets differ in at least one member, so the number of
+places is a lower bound of the members that only one set has, and a pair beyond what
+the threshold allows needs no look at the sets.
 
 Sets and members are 64-bit hashes.
 
@@ -36,6 +41,8 @@ read whole.
 from __future__ import annotations
 
 import sys
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +64,9 @@ COUNTED = 0.4
 #: a task's stretch of about CHUNK members to be proposed.
 FREQUENT, CHUNK, OFTEN = 50_000, 2_000_000, 8
 
+#: Bits of a sketch.
+SKETCH = 1024
+
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -81,6 +91,12 @@ def set_hash(members: np.ndarray) -> int:
     return (value if value != 0 else 1) - (1 << 64 if value >= 1 << 63 else 0)
 
 
+def sketch(members: np.ndarray) -> np.ndarray:
+    """Parity of the members with each low hash value, as 64-bit words."""
+    seen = np.bincount((members % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+    return np.packbits(seen & 1).view(np.int64)
+
+
 def prefix_length(n: int) -> int:
     return n - -(-OVER * n // UNDER) + 1
 
@@ -172,7 +188,9 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_hash(s) for s in sets], pa.int64()),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(
-                     np.concatenate(sets).view(np.int64)))], names=["node", "members"])
+                     np.concatenate(sets).view(np.int64))),
+                 pa.array([sketch(s) for s in sets], pa.list_(pa.int64()))],
+                names=["node", "members", "sketch"])
 
 
 def _prefixes(docs: DataFrame, frequent: list[int]) -> DataFrame:
@@ -210,6 +228,18 @@ def _sizes_fit(a, b):
     return UNDER * F.least(a, b) >= OVER * F.greatest(a, b)
 
 
+def _sketch_words(side: str) -> list:
+    """The words of a sketch as columns: a join compares these far faster than arrays."""
+    return [F.col("sketch")[i].alias(f"{side}{i}") for i in range(SKETCH // 64)]
+
+
+def _sketches_fit(n_a, n_b):
+    """Whether sets of n_a and n_b members may link, as far as their sketches tell."""
+    differ = reduce(add, (F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}")))
+                          for i in range(SKETCH // 64)))
+    return UNDER * (n_a + n_b - differ) >= OVER * (n_a + n_b + differ)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets link."""
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("of_a"))
@@ -245,7 +275,7 @@ def linked_sets(docs: DataFrame, frequent: list[int], first_doc: DataFrame) -> D
     ids = written(prefixes.select("node").join(first_doc, "node").select("doc_id"), "ids")
     sets = written(
         docs.join(checked_broadcast(ids.distinct()), "doc_id", "left_semi").select("text")
-        .mapInArrow(_sets, "node bigint, members array<bigint>")
+        .mapInArrow(_sets, "node bigint, members array<bigint>, sketch array<bigint>")
         .join(prefixes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
     # member lists: first of groups, then of all sets
@@ -262,16 +292,20 @@ def linked_sets(docs: DataFrame, frequent: list[int], first_doc: DataFrame) -> D
     found = components(links)
 
     lists = written(_apart(postings, found), "lists")
-    lists = written(lists.join(_common_members(lists, sets), "node"), "lists")
+    lists = written(lists.join(_common_members(lists, sets), "node")
+                    .join(sets.select("node", "sketch"), "node"), "lists")
     left = lists.select("list", F.col("node").alias("a"), F.col("n").alias("n_a"),
-                        F.col("component").alias("c_a"), F.col("common").alias("k_a"))
+                        F.col("component").alias("c_a"), F.col("common").alias("k_a"),
+                        *_sketch_words("a"))
     right = lists.select("list", F.col("node").alias("b"), F.col("n").alias("n_b"),
-                         F.col("component").alias("c_b"), F.col("common").alias("k_b"))
+                         F.col("component").alias("c_b"), F.col("common").alias("k_b"),
+                         *_sketch_words("b"))
     most = F.least("k_a", "k_b")
     rest = (left.join(right, "list")
             .filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b"))
                     & _sizes_fit(F.col("n_a"), F.col("n_b"))
-                    & (UNDER * most >= OVER * (F.col("n_a") + F.col("n_b") - most)))
+                    & (UNDER * most >= OVER * (F.col("n_a") + F.col("n_b") - most))
+                    & _sketches_fit(F.col("n_a"), F.col("n_b")))
             .select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
     more = written(_verified(written(rest, "pairs"), sets), "links")
     if more.isEmpty():
