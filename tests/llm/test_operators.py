@@ -334,6 +334,15 @@ def test_quality_of_held_out_documents(spark, sf_dir, awkward, none):
     assert quality.quality_scores(none, few).count() == 0
 
 
+def test_every_short_n_gram_of_a_word_is_a_feature():
+    for word in ("a", "abcd", "Häßlich-漢字"):
+        framed = f"<{word}>"
+        pieces = [framed] + [framed[i:i + n] for n in (1, 2, 3, 4)
+                             for i in range(len(framed) - n + 1)]
+        assert Counter(quality.word_features(word)) == Counter(
+            zlib.crc32(p.encode()) % quality.AGAIN for p in pieces)
+
+
 def test_pipeline_applies_each_stage_to_what_is_left(spark, sf_dir):
     import corpus_pipeline
 
