@@ -89,6 +89,11 @@ def _item_windows(items: DataFrame) -> DataFrame:
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every row of
     `docs` (doc_id, text), against `items` (item_id, text)."""
+    return _judged(docs, items).drop("text_hash")
+
+
+def _judged(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The same, and text_hash, which tells rows of one doc_id, or without any, apart."""
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     key = ["doc_id", "text_hash"]
     windows = written(_item_windows(items), "item-windows")
@@ -138,7 +143,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
         *(hit[c] for c in key), "n_hit", "items")
     rows = first.select(*key, "n_words")
     return (rows.join(result, _same(rows, result, key), "left")
-            .select(rows["doc_id"], "n_words",
+            .select(*(rows[c] for c in key), "n_words",
                     F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                     F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256)
@@ -190,8 +195,12 @@ def _short_candidates(docs: DataFrame, windows: DataFrame, length: int,
 
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows that are not contaminated, with all their columns."""
+    """The rows that are not contaminated, with all their columns. Rows that share a
+    doc_id, or have none, are judged each by its own text."""
     bad = written(
-        contamination(docs.select("doc_id", "text"), items).filter("contaminated")
-        .select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(checked_broadcast(bad), docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+        _judged(docs.select("doc_id", "text"), items).filter("contaminated")
+        .select(F.col("doc_id").alias("_bad"), F.col("text_hash").alias("_bad_text"))
+        .distinct(), "contaminated")
+    return docs.join(checked_broadcast(bad),
+                     docs["doc_id"].eqNullSafe(bad["_bad"])
+                     & (F.xxhash64(docs["text"]) == bad["_bad_text"]), "left_anti")

@@ -243,6 +243,15 @@ def test_winnowing_finds_every_window(awkward, none, items):
     assert clean.filter("contaminated OR n_hit > 0").count() == 0
 
 
+def test_decontamination_judges_each_text_of_an_id(spark, items):
+    dirty = prose(3, 30)
+    rows = [(None, dirty), (None, prose(40, 50)), (None, None), (5, dirty), (5, prose(41, 50)),
+            (6, dirty), (7, prose(42, 50)), (7, prose(42, 50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert multiset(winnowing.decontaminated(docs, items), "doc_id", "text") == Counter(
+        (i, t) for i, t in rows if t != dirty)
+
+
 def plain_repeats(rows):
     first = {}
     split = [(float("inf") if i is None else i, (t or "").encode().split()) for i, t in rows]
