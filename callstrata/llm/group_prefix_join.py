@@ -47,7 +47,7 @@ from operator import add
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -125,17 +125,18 @@ def _describe(batches):
                 count()
                 waiting, size = [], 0
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes, pa.int64()),
+             pa.array(sizes, pa.int64()),
              pa.nulls(len(nodes), pa.int64()), pa.nulls(len(nodes), pa.int64())],
-            names=["doc_id", "node", "n", "member", "times"])
+            names=["doc_id", "text_hash", "node", "n", "member", "times"])
     if waiting:
         count()
     for members, times in proposed:
         k = len(members)
         yield pa.RecordBatch.from_arrays(
-            [*(pa.nulls(k, pa.int64()) for _ in range(3)),
+            [*(pa.nulls(k, pa.int64()) for _ in range(4)),
              pa.array(members.view(np.int64)), pa.array(times.astype(np.int64))],
-            names=["doc_id", "node", "n", "member", "times"])
+            names=["doc_id", "text_hash", "node", "n", "member", "times"])
 
 
 def _entries(frequent):
@@ -263,7 +264,7 @@ def _firsts(lists: DataFrame) -> DataFrame:
 
 def linked_sets(docs: DataFrame, frequent: list[int], first_doc: DataFrame) -> DataFrame:
     """node, component of all sets that link with another one. `first_doc`: node,
-    doc_id of one document with the set."""
+    and doc_id (may be NULL) and text_hash of one row with the set."""
     prefixes = written(_prefixes(docs, frequent), "prefixes")
     groups = written(
         prefixes.filter("alone = 0").groupBy("n", "prefix").agg(
@@ -272,9 +273,11 @@ def linked_sets(docs: DataFrame, frequent: list[int], first_doc: DataFrame) -> D
     members = written(
         prefixes.filter("alone = 0").join(groups, ["n", "prefix"])
         .select("node", "n", "group"), "group-members")
-    ids = written(prefixes.select("node").join(first_doc, "node").select("doc_id"), "ids")
+    wanted = written(prefixes.select("node").join(first_doc, "node").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "wanted")
     sets = written(
-        docs.join(checked_broadcast(ids.distinct()), "doc_id", "left_semi").select("text")
+        docs.join(checked_broadcast(wanted), docs["doc_id"].eqNullSafe(wanted["_id"])
+                  & (docs["text_hash"] == wanted["_hash"]), "left_semi").select("text")
         .mapInArrow(_sets, "node bigint, members array<bigint>, sketch array<bigint>")
         .join(prefixes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
 
@@ -335,29 +338,41 @@ def _common_members(lists: DataFrame, sets: DataFrame) -> DataFrame:
             .groupBy("node").agg(F.count(F.lit(1)).alias("common")))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of `docs` (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _first_row() -> Column:
+    """The least (doc_id, text_hash), rows with a doc_id before those without."""
+    return F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash"))
+
+
+def _report(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, n, component_id of every row of `docs` (doc_id, text), and
+    keep: doc_id and text_hash of the first row of its component, NULL if the set is
+    empty."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
+                       F.xxhash64("text").alias("text_hash"))
     described = written(docs.mapInArrow(
-        _describe, "doc_id bigint, node bigint, n bigint, member bigint, times bigint"),
-        "described")
-    rows = described.filter("node IS NOT NULL").select("doc_id", "node", "n")
+        _describe, "doc_id bigint, text_hash bigint, node bigint, n bigint, member bigint, "
+        "times bigint"), "described")
+    rows = described.filter("node IS NOT NULL").select("doc_id", "text_hash", "node", "n")
     frequent = [r.member for r in described.filter("member IS NOT NULL")
                 .groupBy("member").agg(F.sum("times").alias("times"))
                 .orderBy(F.desc("times"), "member").limit(FREQUENT).select("member").collect()]
-    first = written(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")),
-                    "first-documents")
+    first = written(rows.filter("n > 0").groupBy("node").agg(_first_row().alias("f"))
+                    .select("node", "f.doc_id", "f.text_hash"), "first-documents")
     linked = linked_sets(docs, frequent, first)
-    least = (first.join(linked, "node").groupBy("component")
-             .agg(F.min("doc_id").alias("component_id")))
+    least = (first.join(linked, "node").groupBy("component").agg(_first_row().alias("least")))
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
     of_node = written(
         first.join(linked, "node", "left").join(least, "component", "left")
-        .select("node", F.coalesce("component_id", "doc_id").alias("component_id")),
-        "set-components")
+        .select("node", F.coalesce("least", own).alias("keep")), "set-components")
     return (rows.join(of_node, "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-                    .alias("component_id")))
+            .select("doc_id", "text_hash", "n",
+                    F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("keep.doc_id"))
+                    .alias("component_id"), "keep"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of `docs` (doc_id, text)."""
+    return _report(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -145,6 +145,18 @@ def test_jaccard_join_finds_every_link(spark, awkward, none):
         {c for d, _, c in plain_components(ROWS) if d is not None})
 
 
+def test_near_copy_without_id_links_two_documents(spark):
+    words = prose(500, 60).split()
+    edited = ["x%d" % i for i in range(6)]
+    rows = [(1, " ".join(edited + words[6:])), (None, " ".join(words)),
+            (2, " ".join(words[:-6] + edited)), (None, prose(501, 40)), (3, prose(502, 40))]
+    assert plain_components(rows)[(2, 56, 1)] == 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = multiset(group_prefix_join.near_duplicates(docs), "doc_id", "n_shingles",
+                   "component_id")
+    assert got == plain_components(rows)
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     got = dict(components.components(spark.createDataFrame(links, "a long, b long"))
