@@ -376,18 +376,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The row with the smallest doc_id of each component, all its columns kept; of
-    repeated rows one stays, rows without doc_id all do."""
-    report = near_duplicates(docs)
-    gone = written(report.filter("doc_id != component_id").select(
-        F.col("doc_id").alias("_gone")).distinct(), "near-duplicates")
-    kept = docs.join(checked_broadcast(gone), docs["doc_id"] == gone["_gone"], "left_anti")
-    twice = written(docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL")
-                    .select(F.col("doc_id").alias("_twice")), "repeated-ids")
-    on = kept["doc_id"] == twice["_twice"]
+    """One row of each component, that with the smallest doc_id, all its columns kept;
+    of rows equal in doc_id and text one stays, rows without doc_id all do. Other texts
+    under the same doc_id are rows of their own."""
+    report = _report(docs)
+    gone = written(
+        report.filter("doc_id IS NOT NULL AND n > 0 AND "
+                      "(doc_id != keep.doc_id OR text_hash != keep.text_hash)")
+        .select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_text"))
+        .distinct(), "near-duplicates")
+    text_hash = F.xxhash64(docs["text"])
+    kept = docs.join(checked_broadcast(gone), (docs["doc_id"] == gone["_gone"])
+                     & (text_hash == gone["_gone_text"]), "left_anti")
+    twice = written(
+        docs.select(F.col("doc_id").alias("_twice"), text_hash.alias("_twice_text"))
+        .filter("_twice IS NOT NULL").groupBy("_twice", "_twice_text").count()
+        .filter("count > 1").drop("count"), "repeated-rows")
+    on = (kept["doc_id"] == twice["_twice"]) & (
+        F.xxhash64(kept["text"]) == twice["_twice_text"])
     narrow = checked_broadcast(twice)
     return kept.join(narrow, on, "left_anti").unionByName(
-        kept.join(narrow, on, "left_semi").dropDuplicates(["doc_id"]))
+        kept.join(narrow, on, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 # Workers need not have this package installed.

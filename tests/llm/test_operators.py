@@ -157,6 +157,19 @@ def test_near_copy_without_id_links_two_documents(spark):
     assert got == plain_components(rows)
 
 
+def test_only_copies_leave_under_one_id(spark):
+    base = prose(510, 120)
+    rows = [(1, base), (2, near(base, 1, 2)), (2, prose(511, 60)), (2, prose(512, 60)),
+            (1, near(base, 2, 2)), (3, prose(513, 60)), (3, prose(513, 60)), (4, ""), (4, "  "),
+            (4, None), (None, base), (None, prose(514, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = multiset(group_prefix_join.one_of_each(docs), "doc_id", "text")
+    kept = [(i, t) for i, t in got if i == 1]
+    assert len(kept) == 1 and kept[0] in rows
+    assert got - Counter(kept) == Counter(
+        [rows[2], rows[3], rows[5], *rows[7:12]])
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, k) for k in range(101, 130)] + [(7, 7)]
     got = dict(components.components(spark.createDataFrame(links, "a long, b long"))
