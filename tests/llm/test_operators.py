@@ -213,6 +213,30 @@ def test_network_learns_what_keys_look_like():
     assert (said == (labels[~pick] == 1)).mean() > 0.95
 
 
+def test_network_sees_all_of_a_long_run(spark):
+    draw = np.random.default_rng(2)
+    key = lambda: "".join(draw.choice(list("0123456789abcdef"), 40))
+    rows = [(i, f"{prose(i, 6)} {key()} {prose(i, 3)} /{'/'.join(prose(i, 12).split())}")
+            for i in range(300)]
+    path = "/".join(prose(7, 30).split())
+    network = secrets.fit(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert 0 < network.threshold <= 1
+    # by hand: five Z in a row
+    network.weights = {k: np.zeros_like(v) for k, v in network.weights.items()}
+    network.weights["embed"][ord("Z"), 0] = 1
+    network.weights["conv"][::secrets.EMBEDDED, 0] = 1
+    network.weights["conv_bias"][0] = -4.5
+    network.weights["out"][0, 1], network.weights["out_bias"][1] = 100, -20
+    network.temperature, network.threshold = 1.0, 0.5
+    secret = "Z" * 20
+    texts = [f"{path}/{secret}/{path}", f"{path}/{secret}/{key()}/{path}/{secret}/{path}",
+             f"{secret}", f"{key()}/{secret}"]
+    for text, row in zip(texts, secrets.find_secrets(spark.createDataFrame(
+            list(enumerate(texts)), "doc_id long, text string").coalesce(1), network).collect()):
+        said = [text[s.start:s.end] for s in row.spans if s.kind == "model"]
+        assert sum(x.count(secret) for x in said) == text.count(secret)
+
+
 def test_pieces_equal_the_library_and_decode(spark, awkward, none):
     from sentencepiece import SentencePieceProcessor
     from sentencepiece import sentencepiece_model_pb2 as proto
