@@ -220,7 +220,7 @@ def test_network_sees_all_of_a_long_run(spark):
             for i in range(300)]
     path = "/".join(prose(7, 30).split())
     network = secrets.fit(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert 0 < network.threshold <= 1
+    assert 0 < network.threshold <= 1 and network.precision > 0.9
     # by hand: five Z in a row
     network.weights = {k: np.zeros_like(v) for k, v in network.weights.items()}
     network.weights["embed"][ord("Z"), 0] = 1
@@ -237,6 +237,22 @@ def test_network_sees_all_of_a_long_run(spark):
         assert sum(x.count(secret) for x in said) == text.count(secret)
 
 
+def test_rare_findings_teach_the_network(spark):
+    rows = [(i, f"{prose(i, 3)} 12345678901234567{i}") for i in range(3000)]
+    rows[1700] = (1700, "token = 04dbebab91ab85687d33eeaaf9ac699e1188f962")
+    rows[40] = (40, "secret = 8d6f0aab91ab85687d33eeaaf9ac699e11aa0317")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    network = secrets.fit(docs, findings=50)
+    assert network.threshold <= 1
+
+
+def test_recall_alone_sets_the_threshold():
+    network = secrets.Network()
+    network.logits = lambda windows: np.array([-3.0, -2.0, 1.0, 2.0, -5.0, -6.0, 0.0, -4.0])
+    network.calibrate([b""] * 8, np.array([1, 1, 1, 1, 0, 0, 0, 0]), 0.98)
+    assert network.threshold < 0.5 and network.precision == 0.8
+
+
 def test_pieces_equal_the_library_and_decode(spark, awkward, none):
     from sentencepiece import SentencePieceProcessor
     from sentencepiece import sentencepiece_model_pb2 as proto
