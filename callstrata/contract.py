@@ -83,6 +83,11 @@ OPTIONAL_WIRE_COLUMNS = (
     "error_code", "error_message",
 )
 
+# What a row has in place of a required value that the message left out.
+REQUIRED_DEFAULTS = {
+    "service": "", "vendor_id": "", "endpoint": "", "status": "", "latency_ms": 0,
+}
+
 HOT_SCHEMA = """
     schema_version INT, request_id STRING, created_at TIMESTAMP,
     ingested_at TIMESTAMP, service STRING, environment STRING, vendor_id STRING,
@@ -126,28 +131,28 @@ AUDIT_SCHEMA = """
 
 # Columns our tables add for partitioning and for picking the last copy.
 HOT_TABLE_SCHEMA = HOT_SCHEMA.rstrip() + """,
-    batch_id BIGINT, ist_month STRING, ist_day STRING, write_id STRING
+    batch_id BIGINT, write_id STRING, ist_month STRING, ist_day STRING
 """
 
+# attempts: how often a replay has found the message unfit again.
 QUARANTINE_SCHEMA = """
-    body STRING, reason STRING, cold_written BOOLEAN, parked_at TIMESTAMP,
-    batch_id BIGINT, parked_day STRING, write_id STRING
+    body STRING, cold_written BOOLEAN, parked_at TIMESTAMP, batch_id BIGINT,
+    attempts INT, parked_day STRING, reason STRING
 """
 
 COLD_PAYLOAD_SCHEMA = """
     s3_key STRING, kind STRING,
     meta STRUCT<request_id: STRING, service: STRING, vendor_id: STRING,
         endpoint: STRING, created_at: STRING, environment: STRING>,
-    payload STRING, year STRING, month STRING, day STRING, vendor_id STRING,
-    write_id STRING
+    payload STRING, year STRING, month STRING, day STRING, vendor_id STRING
 """
 
+# key_hash: xxhash64 of the key, by which a run is sorted.
 COLD_INDEX_SCHEMA = """
-    s3_request_key STRING, year STRING, month STRING, day STRING, write_id STRING
+    key_hash BIGINT, s3_request_key STRING, write_id STRING, cold_day STRING
 """
 
 ROLLUP_SCHEMA = """
     window_start TIMESTAMP, vendor_id STRING, endpoint STRING, service STRING,
-    status STRING, total BIGINT, total_latency BIGINT, rollup_day STRING,
-    write_id STRING
+    status STRING, total BIGINT, total_latency BIGINT, rollup_day STRING
 """

@@ -11,6 +11,10 @@ from callstrata.functions.redaction import redact_payload
 UUID_SHAPE = "^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$"
 DEFAULT_ENVIRONMENT = "staging"
 
+PARSE_OPTIONS = {
+    "mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+}
+
 # Reasons that keep a message out of the cold archive too.
 NOT_ARCHIVED = ("unparseable", "unsupported_version")
 
@@ -75,14 +79,13 @@ def parse_messages(messages: DataFrame) -> DataFrame:
     """Message bodies to wire columns, with `reason` set where one must not pass.
 
     Unknown keys are ignored. `reason` is NULL for a good event; a message of a
-    version we do not know is "unsupported_version", which is not a failure.
+    version we do not know is "unsupported_version", which is not a failure. A
+    field of the wrong type is NULL and makes the message a "bad_field"; its other
+    fields are there, and it goes to the cold archive as it is.
     """
     schema = f"{contract.WIRE_SCHEMA}, _corrupt STRING"
-    options = {
-        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt",
-        "allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
-    }
-    event = F.from_json("body", schema, options)
+    event = F.from_json(
+        "body", schema, {**PARSE_OPTIONS, "columnNameOfCorruptRecord": "_corrupt"})
     # As a generator the parse runs once per message. As a plain column it would
     # be copied into every filter and column that uses one of its fields.
     return (
@@ -100,10 +103,18 @@ def rejection_reason() -> Column:
     # A newer version may have other types: it is skipped before types are judged.
     stated = F.get_json_object("body", "$.schema_version")
     other = F.coalesce(stated != str(contract.SUPPORTED_SCHEMA_VERSION), F.lit(False))
+    corrupt = F.col("_corrupt").isNotNull()
+    # As text any value fits, so what fails here too is no JSON. Looked at only where
+    # the typed parse failed; that one keeps the fields that do fit.
+    as_text = ", ".join(f"{name} STRING" for name in contract.WIRE_COLUMNS) + ", _bad STRING"
+    is_json = F.from_json(
+        body, as_text, {**PARSE_OPTIONS, "columnNameOfCorruptRecord": "_bad"})["_bad"].isNull()
     return (
         F.when(~is_object, "unparseable")
-        .when(F.col("_corrupt").isNotNull() & other, "unsupported_version")
-        .when(F.col("_corrupt").isNotNull(), "unparseable")
+        .when(corrupt & other, "unsupported_version")
+        .when(corrupt & ~is_json, "unparseable")
+        .when(corrupt & version.isNull(), "unsupported_version")
+        .when(corrupt, "bad_field")
         .when(~F.equal_null(version, F.lit(contract.SUPPORTED_SCHEMA_VERSION)),
               "unsupported_version")
         .otherwise(hot_rejection())
@@ -144,8 +155,8 @@ def quarantine_rows(parsed: DataFrame) -> DataFrame:
 def with_cold_keys(parsed: DataFrame) -> DataFrame:
     """Adds the day and object keys of each event."""
     prefix = scalars.cold_prefix(
-        F.col("cold_day"), F.col("vendor_id"), F.col("endpoint"), F.col("user_id"),
-        F.col("request_id"))
+        F.col("cold_day"), F.coalesce(F.col("vendor_id"), F.lit("")), F.col("endpoint"),
+        F.col("user_id"), F.col("request_id"))
     return parsed.withColumn(
         "cold_day", scalars.safe_day(F.col("created_at"), F.col("received_at"))
     ).withColumns({
@@ -155,7 +166,8 @@ def with_cold_keys(parsed: DataFrame) -> DataFrame:
 
 
 def map_hot_row(events: DataFrame, environment: str = DEFAULT_ENVIRONMENT) -> DataFrame:
-    """Hot columns of good events. Only NULL takes a default: '' and 0 stay.
+    """Hot columns of good events. Only NULL takes a default: '' and 0 stay. Required
+    values that a message left out have theirs, too, so no filter loses the row.
 
     The two payloads pass through Arrow to Python in one step; all else is
     built in.
@@ -182,6 +194,9 @@ def map_hot_row(events: DataFrame, environment: str = DEFAULT_ENVIRONMENT) -> Da
             return special[name].alias(name)
         if name in contract.OPTIONAL_WIRE_COLUMNS:
             return default(name).alias(name)
+        if name in contract.REQUIRED_DEFAULTS:
+            return F.coalesce(F.col(name), F.lit(contract.REQUIRED_DEFAULTS[name]).cast(
+                "bigint" if name == "latency_ms" else "string")).alias(name)
         return F.col(name)
 
     return events.select(*[column(name) for name in contract.HOT_COLUMNS], *carried)

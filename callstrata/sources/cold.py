@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callstrata import contract
-from callstrata.functions import scalars
+from callstrata.operators.dedup import latest_copy
 from callstrata.operators.ingest import DEFAULT_ENVIRONMENT
-from callstrata.session import prepare
-from callstrata.sources.files import path_exists, together, write_partitions
+from callstrata.sources.committed import CommittedTable, DataFile
+from callstrata.sources.files import together
+from callstrata.sources.key_index import KeyIndex
 
-PARTITIONS = ("year", "month", "day", "vendor_id", "write_id")
-INDEX_PARTITIONS = ("year", "month", "day", "write_id")
+PARTITIONS = ("year", "month", "day", "vendor_id")
 ROWS_PER_FILE = 200_000
+#: Archived events of at most this many bytes of metadata are sent to all tasks.
+BROADCAST_BYTES = 64 << 20
 
 
 def _day_parts() -> dict[str, Column]:
@@ -48,7 +50,8 @@ def document_text() -> Column:
 
 
 def metadata_rows(events: DataFrame) -> DataFrame:
-    """The 18 metadata fields of each event, without payloads."""
+    """The 18 metadata fields of each event, without payloads; its two keys; and why it
+    did not become a hot row, if so."""
     defaults = {
         "user_id": "unknown", "pan_masked": "", "mobile_last4": "", "aadhaar_last4_hash": "",
         "consent_id": "", "request_hash": "",
@@ -56,16 +59,28 @@ def metadata_rows(events: DataFrame) -> DataFrame:
     return events.withColumns(_day_parts()).select(
         *[F.coalesce(F.col(name), F.lit(defaults[name])).alias(name) if name in defaults
           else F.col(name) for name in contract.COLD_META_COLUMNS],
+        "s3_request_key", "s3_response_key",
+        (F.col("reason") if "reason" in events.columns else F.lit(None).cast("string"))
+        .alias("hot_reason"),
         "year", "month", "day",
     )
 
 
 class ColdArchive:
     def __init__(self, spark: SparkSession, path: str, environment: str = DEFAULT_ENVIRONMENT):
-        self.spark = prepare(spark)  # days and minutes are cut in UTC
-        self.payload_path = f"{path}/payload"
-        self.meta_path = f"{path}/meta"
-        self.index_path = f"{path}/index"
+        self.spark = spark
+        self.payloads = CommittedTable(
+            spark, f"{path}/payload", contract.COLD_PAYLOAD_SCHEMA, PARTITIONS,
+            file_format="json", sort_by=("s3_key",),
+            options={"compression": "gzip", "maxRecordsPerFile": str(ROWS_PER_FILE)})
+        self.meta = CommittedTable(
+            spark, f"{path}/meta",
+            f"s3_request_key STRING, s3_response_key STRING, hot_reason STRING, "
+            f"{contract.COLD_SCAN_SCHEMA}",
+            PARTITIONS, file_format="json", sort_by=("created_at",),
+            options={"maxRecordsPerFile": str(ROWS_PER_FILE), "ignoreNullFields": "false"},
+            read_options={"mode": "DROPMALFORMED"})
+        self.index = KeyIndex(spark, f"{path}/index")
         self.environment = environment
 
     def write(self, events: DataFrame, write_id: str) -> None:
@@ -73,79 +88,116 @@ class ColdArchive:
 
         An event counts as archived once its key is in the index.
         """
-        stamped = F.lit(write_id)
         together(
             self.spark,
-            lambda: write_partitions(
-                payload_documents(events, self.environment).withColumn("write_id", stamped),
-                self.payload_path, PARTITIONS, sort_by=("s3_key",), file_format="json",
-                options={"compression": "gzip", "maxRecordsPerFile": str(ROWS_PER_FILE)}),
-            lambda: write_partitions(
-                metadata_rows(events).withColumn("write_id", stamped),
-                self.meta_path, PARTITIONS, sort_by=("created_at",), file_format="json",
-                options={"maxRecordsPerFile": str(ROWS_PER_FILE), "ignoreNullFields": "false"}),
+            lambda: self.payloads.write(payload_documents(events, self.environment), write_id),
+            lambda: self.meta.write(metadata_rows(events), write_id),
         )
-        write_partitions(
-            events.withColumns(_day_parts()).select(
-                "s3_request_key", *INDEX_PARTITIONS[:3], stamped.alias("write_id")),
-            self.index_path, INDEX_PARTITIONS, sort_by=("s3_request_key",),
-            options={"compression": "zstd"})
-
-    def documents(self) -> DataFrame:
-        return self.spark.read.schema(contract.COLD_PAYLOAD_SCHEMA).json(self.payload_path)
-
-    def metadata(self) -> DataFrame:
-        """All metadata; malformed lines are ignored."""
-        schema = f"{contract.COLD_SCAN_SCHEMA}, write_id STRING"
-        return self.spark.read.schema(schema).option("mode", "DROPMALFORMED").json(self.meta_path)
+        self.index.add(events.select("s3_request_key", "cold_day"), write_id)
+
+    # -- reading --
+
+    @staticmethod
+    def _where(table: CommittedTable, vendor_id: str | None = None,
+               days: list[str] | None = None, **parts: str | None) -> list[DataFile]:
+        """Files of one vendor, of some days (`yyyy/MM/dd`), or of a year, month or day."""
+        wanted = None if days is None else set(days)
+        parts = {name: value for name, value in parts.items() if value is not None}
+
+        def keep(file: DataFile) -> bool:
+            if vendor_id is not None and (file.partition("vendor_id") or "") != vendor_id:
+                return False
+            if wanted is not None and "/".join(
+                    file.partition(name) for name in PARTITIONS[:3]) not in wanted:
+                return False
+            return all(file.partition(name) == value for name, value in parts.items())
+
+        return table.files(keep)
+
+    def documents(self, vendor_id: str | None = None, days: list[str] | None = None
+                  ) -> DataFrame:
+        return self.payloads.read(self._where(self.payloads, vendor_id, days)).withColumn(
+            "vendor_id", _vendor())
+
+    def metadata(self, vendor_id: str | None = None, days: list[str] | None = None
+                 ) -> DataFrame:
+        """Metadata; malformed lines are ignored, `malformed` counts them."""
+        return self.meta.read(self._where(self.meta, vendor_id, days)).withColumn(
+            "vendor_id", _vendor())
+
+    def malformed(self) -> DataFrame:
+        """Lines of metadata that do not parse, with the number of times they occur."""
+        files = self.meta.files()
+        if not files:
+            return self.spark.createDataFrame([], "line string, records bigint")
+        lines = self.spark.read.text([f"{self.meta.data_path}/{f.path}" for f in files])
+        schema = f"{contract.COLD_SCAN_SCHEMA}, _corrupt STRING"
+        parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"})
+        return (lines.where(parsed["_corrupt"].isNotNull())
+                .groupBy(F.col("value").alias("line")).agg(F.count("*").alias("records")))
 
     def scan(self, vendor_id: str, year: str | None = None, month: str | None = None,
              day: str | None = None) -> DataFrame:
         """Metadata of one vendor, optionally of one year, month or day.
 
-        The vendor must be given, so that no query lists the whole archive; all
-        four are partition columns, so only matching folders are read.
+        The vendor must be given, so that no query reads the whole archive. Files of
+        other vendors and days are neither listed nor read.
         """
         if not vendor_id:
             raise ValueError("a cold scan needs a vendor_id")
-        rows = self.metadata().where(F.col("vendor_id") == vendor_id)
-        for name, value in (("year", year), ("month", month), ("day", day)):
+        parts = {"year": year, "month": month, "day": day}
+        rows = self.meta.read(self._where(self.meta, vendor_id, **parts)).where(
+            F.col("vendor_id") == vendor_id)
+        for name, value in parts.items():
             if value is not None:
                 rows = rows.where(F.col(name) == value)
-        return rows.drop("write_id").withColumn(
+        return rows.drop("s3_request_key", "s3_response_key", "hot_reason").withColumn(
             "latency_ms", F.expr("try_cast(latency_ms AS INT)"))
 
     def request_keys(self, days: list[str], except_write: str | None = None) -> DataFrame:
-        """Request keys archived on the given days (`yyyy/MM/dd`).
-
-        The index is a narrow, sorted table of its own: every batch asks it, and
-        must not read the archive's metadata each time.
-        """
-        if not path_exists(self.spark, self.index_path):
-            return self.spark.createDataFrame([], "s3_request_key string")
-        rows = self.spark.read.schema(contract.COLD_INDEX_SCHEMA).parquet(self.index_path)
-        rows = rows.where(_on_days(days))
-        if except_write is not None:
-            rows = rows.where(F.col("write_id") != except_write)
-        return rows.select("s3_request_key")
-
-    def events(self) -> DataFrame:
-        """Archived events joined again from metadata and their two documents."""
-        prefix = scalars.cold_prefix(
-            F.concat_ws("/", "year", "month", "day"), F.col("vendor_id"), F.col("endpoint"),
-            F.col("user_id"), F.col("request_id"))
-        rows = self.metadata()
+        """Request keys archived on the given days (`yyyy/MM/dd`)."""
+        return self.index.keys(days, except_write)
+
+    def events(self, vendor_id: str | None = None, days: list[str] | None = None) -> DataFrame:
+        """Archived events, one per object key, joined again from metadata and their two
+        documents. An event without a document has NULL for it."""
+        return self.with_payloads(
+            latest_copy(self.metadata(vendor_id, days), ["s3_request_key"], [F.lit(1)]),
+            vendor_id, days)
+
+    def with_payloads(self, rows: DataFrame, vendor_id: str | None = None,
+                      days: list[str] | None = None, few: bool = False) -> DataFrame:
+        """Metadata rows with their payloads, left to right on the name that an event's
+        objects share. All sides are dealt out by it once. Where `few` says that the rows
+        are small enough to be sent to all tasks, the documents are only filtered, and
+        those that are wanted are joined."""
+        named = rows.withColumn("_event", _event_of(F.col("s3_request_key")))
         for kind in ("request", "response"):
-            key = f"s3_{kind}_key"
-            side = (
-                self.documents().where(F.col("kind") == kind)
-                .groupBy(F.col("s3_key").alias(key))
-                .agg(F.max("payload").alias(f"{kind}_payload"))
-            )
-            rows = rows.withColumn(key, scalars.cold_key(prefix, kind)).join(side, key)
-        return rows
-
-
-def _on_days(days: list[str]) -> Column:
-    """Condition on partition columns only, so other days are not even listed."""
-    return F.concat_ws("/", "year", "month", "day").isin(sorted(set(days)))
+            side = self.documents(vendor_id, days).where(F.col("kind") == kind).select(
+                _event_of(F.col("s3_key")).alias("_event"),
+                F.col("payload").alias(f"{kind}_payload"))
+            if few:
+                side = side.join(F.broadcast(named.select("_event")), "_event", "left_semi")
+            named = named.join(side, "_event", "left")
+        # A document that two sources wrote at once is there twice.
+        return named.dropDuplicates(["_event"]).drop("_event")
+
+    # -- maintenance --
+
+    def compact(self, *, most: int = 8, settled: float = 3600) -> int:
+        """Merge small files of payloads and metadata. Returns the files replaced."""
+        return sum(table.merge_small(most=most, settled=settled)
+                   for table in (self.payloads, self.meta))
+
+    def vacuum(self, grace: float) -> int:
+        return sum(t.vacuum(grace) for t in (self.payloads, self.meta, self.index.table))
+
+
+def _event_of(key: Column) -> Column:
+    """What the keys of one event's objects have in common: all but the last segment."""
+    return F.regexp_replace(key, r"/[^/]*\z", "")
+
+
+def _vendor() -> Column:
+    """An empty vendor has a folder of its own, which reads as NULL."""
+    return F.coalesce(F.col("vendor_id"), F.lit(""))

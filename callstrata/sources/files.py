@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -72,3 +74,76 @@ def partition_value(folder: str, name: str) -> str:
         if part.startswith(f"{name}="):
             return part[len(name) + 1:]
     raise ValueError(f"no partition {name} in {folder}")
+
+
+def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """Data files below a folder, relative to it, with their sizes in bytes."""
+    file_system, hadoop_path = _file_system(spark, folder)
+    if not file_system.exists(hadoop_path):
+        return []
+    root = file_system.makeQualified(hadoop_path).toString().rstrip("/") + "/"
+    found, walk = [], file_system.listFiles(hadoop_path, True)
+    while walk.hasNext():
+        status = walk.next()
+        name = status.getPath().getName()
+        if not name.startswith(("_", ".")):
+            found.append((status.getPath().toString()[len(root):], status.getLen()))
+    return sorted(found)
+
+
+def move_files(spark: SparkSession, moves: Sequence[tuple[str, str]]) -> None:
+    """Rename files; folders are made as needed."""
+    if not moves:
+        return
+    file_system, _ = _file_system(spark, moves[0][1])
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for folder in {target.rsplit("/", 1)[0] for _, target in moves}:
+        file_system.mkdirs(path(folder))
+    for source, target in moves:
+        if not file_system.rename(path(source), path(target)):
+            raise OSError(f"could not rename {source} to {target}")
+
+
+def drop_files(spark: SparkSession, paths: Sequence[str]) -> None:
+    for path in paths:
+        file_system, hadoop_path = _file_system(spark, path)
+        file_system.delete(hadoop_path, False)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file; None where there is none."""
+    file_system, hadoop_path = _file_system(spark, path)
+    if not file_system.exists(hadoop_path):
+        return None
+    stream = file_system.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str, *, replace: bool = False) -> bool:
+    """Write a small file as a whole: readers see all of it or nothing. False if it
+    exists and must not be replaced."""
+    file_system, hadoop_path = _file_system(spark, path)
+    jvm = spark._jvm
+    folder, name = path.rsplit("/", 1)
+    draft = jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = file_system.create(draft, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE if replace else rename.NONE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        file_system.getUri(), spark._jsc.hadoopConfiguration())
+    try:
+        context.rename(draft, hadoop_path, how)
+    except Py4JJavaError as error:
+        file_system.delete(draft, False)
+        if "FileAlreadyExistsException" in str(error.java_exception.getClass()):
+            return False
+        raise
+    return True

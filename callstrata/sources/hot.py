@@ -4,21 +4,20 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime, timedelta, timezone
+from urllib.parse import unquote
 from zoneinfo import ZoneInfo
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from callstrata import contract
+from callstrata.functions.filters import time_filter
 from callstrata.functions.scalars import hot_day, hot_month
 from callstrata.operators.dedup import hot_final
 from callstrata.operators.lookups import LOOKUP_COLUMNS
 from callstrata.operators.retention import cutoff, expire_payloads, expire_rows
-from callstrata.session import fresh_path, prepare
-from callstrata.sources.files import (
-    drop_folder, list_folders, partition_value, path_exists, write_partitions,
-)
+from callstrata.sources.committed import CommittedTable, DataFile
 
-PARTITIONS = ("ist_month", "ist_day", "write_id")
+PARTITIONS = ("ist_month", "ist_day")
 COMPACTED = "compacted-"
 BLOOM_COLUMNS = tuple(name for name in LOOKUP_COLUMNS if name != "status")
 
@@ -36,10 +35,13 @@ class HotTable:
     """Parquet files below one path. Every write has an id and replaces only itself."""
 
     def __init__(self, spark: SparkSession, path: str, distinct_per_group: int = 1_000_000):
-        self.spark = prepare(spark)  # days and minutes are cut in UTC
+        self.spark = spark
         self.path = path.rstrip("/")
         self.distinct_per_group = distinct_per_group
         self.options = parquet_options(distinct_per_group)
+        self.table = CommittedTable(
+            spark, path, contract.HOT_TABLE_SCHEMA, PARTITIONS, sort_by=("created_at",),
+            ranges=("created_at", "ingested_at"), options=self.options)
 
     # -- writing --
 
@@ -49,26 +51,39 @@ class HotTable:
         if known, bounds the bloom filters: those of a small batch are small."""
         if "batch_id" not in rows.columns:
             rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        rows = rows.select(*contract.HOT_COLUMNS, F.col("batch_id").cast("bigint"))
-        self._write(rows.withColumns({
+        rows = rows.select(*contract.HOT_COLUMNS, F.col("batch_id").cast("bigint")).withColumns({
+            "write_id": F.lit(write_id),
             "ist_month": hot_month(F.col("created_at")),
             "ist_day": hot_day(F.col("created_at")),
-            "write_id": F.lit(write_id),
-        }), size)
-
-    def _write(self, rows: DataFrame, size: int | None = None) -> None:
-        options = self.options
+        })
+        options = None
         if size is not None:
             options = parquet_options(min(self.distinct_per_group, max(size, 1)))
-        write_partitions(rows, self.path, PARTITIONS, sort_by=("created_at",), options=options)
+        self.table.write(rows, write_id, options)
 
     # -- reading --
 
     def raw(self) -> DataFrame:
-        """Every stored delivery."""
-        if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], contract.HOT_TABLE_SCHEMA)
-        return self.spark.read.schema(contract.HOT_TABLE_SCHEMA).parquet(self.path)
+        """Every stored delivery, as of now."""
+        return self.table.read()
+
+    def between(self, column: str, start: datetime | None, end: datetime | None,
+                final: bool = False) -> DataFrame:
+        """Rows with created_at or ingested_at in a range of times (UTC), both ends
+        included. Only files that may hold such rows are read; for ingested_at no folder
+        says so. `final` keeps one row per request, as `final` does; copies outside of the
+        range count, so it reads the months of the range whole."""
+        if column not in self.table.ranges:
+            raise ValueError(f"files know the ranges of {', '.join(self.table.ranges)}")
+        low, high = (None if at is None else _micros(at) for at in (start, end))
+        files = self.table.files(lambda file: file.meets(column, low, high))
+        if final:
+            months = {file.partition("ist_month") for file in files}
+            files = self.table.files(lambda file: file.partition("ist_month") in months)
+        rows = self.table.read(files)
+        rows = self._deduplicated(rows, files) if final else rows
+        return time_filter(rows, column, *(
+            None if at is None else F.timestamp_micros(F.lit(at)) for at in (low, high)))
 
     def final(self) -> DataFrame:
         """One row per request and month: the last copy ingested.
@@ -76,39 +91,34 @@ class HotTable:
         Months that compaction left without newer writes hold no copies and are
         read as they are; only the others are shuffled.
         """
-        return self._deduplicated(self.raw())
-
-    def _deduplicated(self, rows: DataFrame) -> DataFrame:
-        settled, every = self._settled_months()
+        files = self.table.files()
+        return self._deduplicated(self.table.read(files), files)
+
+    @staticmethod
+    def _deduplicated(rows: DataFrame, files: list[DataFile]) -> DataFrame:
+        """`rows` of `files` without copies."""
+        writes: dict[str, dict[str, set[str]]] = {}
+        for file in files:
+            writes.setdefault(file.partition("ist_month"), {}).setdefault(
+                file.partition("ist_day"), set()).add(file.write_id)
+        # Months whose every day holds exactly one write, made by compaction.
+        settled = sorted(
+            month for month, days in writes.items()
+            if all(len(ids) == 1 and min(ids).startswith(COMPACTED) for ids in days.values()))
         if not settled:
             return hot_final(rows)
-        if len(settled) == every:
+        if len(settled) == len(writes):
             return rows
         is_settled = F.col("ist_month").isin(settled)
         return hot_final(rows.where(~is_settled)).unionByName(rows.where(is_settled))
 
-    def _folders(self, month: str = "*") -> list[str]:
-        return list_folders(self.spark, f"{self.path}/ist_month={month}/ist_day=*/write_id=*")
-
-    def _settled_months(self) -> tuple[list[str], int]:
-        """Months whose every day holds exactly one write, made by compaction,
-        and how many months there are."""
-        writes: dict[str, dict[str, list[str]]] = {}
-        for folder in self._folders():
-            month, day, write_id = (partition_value(folder, name) for name in PARTITIONS)
-            writes.setdefault(month, {}).setdefault(day, []).append(write_id)
-        settled = sorted(
-            month for month, days in writes.items()
-            if all(len(ids) == 1 and ids[0].startswith(COMPACTED) for ids in days.values()))
-        return settled, len(writes)
-
     def current(self, now: Column, final: bool = True) -> DataFrame:
         """Rows and payloads as retention leaves them at `now`, to the exact edge."""
-        rows = self.raw()
+        files = self.table.files()
         edge = cutoff(now, contract.ROW_RETENTION_DAYS)
-        rows = rows.where(
+        rows = self.table.read(files).where(
             (F.col("ist_month") >= hot_month(edge)) & (F.col("ist_day") >= hot_day(edge)))
-        rows = self._deduplicated(rows) if final else rows
+        rows = self._deduplicated(rows, files) if final else rows
         return expire_payloads(expire_rows(rows, now), now)
 
     # -- maintenance --
@@ -118,76 +128,75 @@ class HotTable:
 
         A day is rewritten when it has a write since the last compaction, or a
         row whose request came again on another day. All other days have no
-        copies. The result is written in full before the old folders go: a crash
-        in between leaves extra copies, which deduplication on read hides and the
-        next compaction removes. Folders written meanwhile are not touched.
-        Returns the number of folders replaced.
+        copies. The new files take the old ones' place in one commit: readers
+        see each row once, before and after. Writes committed meanwhile stay.
+        Returns the number of files replaced.
         """
-        folders = self._folders(month)
-        per_day: dict[str, list[str]] = {}
-        for folder in folders:
-            per_day.setdefault(partition_value(folder, "ist_day"), []).append(
-                partition_value(folder, "write_id"))
+        files = self.table.files(lambda file: file.partition("ist_month") == month)
+        per_day: dict[str, set[str]] = {}
+        for file in files:
+            per_day.setdefault(file.partition("ist_day"), set()).add(file.write_id)
         touched = {day for day, ids in per_day.items()
-                   if len(ids) > 1 or not ids[0].startswith(COMPACTED)}
+                   if len(ids) > 1 or not min(ids).startswith(COMPACTED)}
         if not touched:
             return 0
-        write_ids = sorted({write_id for ids in per_day.values() for write_id in ids})
-        rows = self.raw().where(
-            (F.col("ist_month") == month) & F.col("write_id").isin(*write_ids))
-        untouched = sorted(per_day.keys() - touched)
+        untouched = per_day.keys() - touched
         if untouched:
-            is_untouched = F.col("ist_day").isin(untouched)
-            again = rows.where(~is_untouched).select("request_id").distinct()
+            new, settled = (
+                self.table.read([f for f in files if f.partition("ist_day") in days])
+                for days in (touched, untouched))
             # At most the days of one month.
-            touched |= {row.ist_day for row in rows.where(is_untouched).join(
-                again, "request_id", "left_semi").select("ist_day").distinct().collect()}
-        rows = rows.where(F.col("ist_day").isin(sorted(touched)))
-        self._write(hot_final(rows).withColumn("write_id", F.lit(f"{COMPACTED}{uuid.uuid4().hex}")))
-        old = [folder for folder in folders if partition_value(folder, "ist_day") in touched]
-        for folder in old:
-            drop_folder(self.spark, folder)
+            touched |= {row.ist_day for row in settled.join(
+                new.select("request_id").distinct(), "request_id", "left_semi")
+                .select("ist_day").distinct().collect()}
+        old = [file for file in files if file.partition("ist_day") in touched]
+        self.table.replace(old, hot_final(self.table.read(old)),
+                           f"{COMPACTED}{uuid.uuid4().hex}")
         return len(old)
 
     def drop_expired(self, now: datetime, days: int = contract.ROW_RETENTION_DAYS) -> int:
-        """Drop day partitions that lie wholly past retention. Days in the hot zone."""
+        """Drop days that lie wholly past retention, in the hot zone. Returns how many."""
         # A day is wholly past when the cut-off (in UTC) falls on a later local day.
         cut = (now - timedelta(days=days)).replace(tzinfo=timezone.utc)
         edge = cut.astimezone(ZoneInfo(contract.HOT_TIME_ZONE)).strftime("%Y-%m-%d")
-        folders = [
-            folder for folder in list_folders(self.spark, f"{self.path}/ist_month=*/ist_day=*")
-            if partition_value(folder, "ist_day") < edge
-        ]
-        for folder in folders:
-            drop_folder(self.spark, folder)
-        return len(folders)
+        old = self.table.files(lambda file: file.partition("ist_day") < edge)
+        self.table.remove(old)
+        return len({file.partition("ist_day") for file in old})
 
     def blank_payloads(self, now: Column, days: int = contract.PAYLOAD_RETENTION_DAYS) -> int:
-        """Empty the payloads of old rows by rewriting the day partitions they are in.
+        """Empty the payloads of old rows by rewriting the files they are in.
 
-        The new rows are first written beside the table: a partition is never
-        overwritten by a job that reads it. Partitions already empty stay.
+        Files already empty stay. The old files still hold the payloads until `vacuum`.
         Returns the number of rewritten rows.
         """
         edge = cutoff(now, days)
-        old_days = self.raw().where(F.col("ist_day") <= hot_day(edge))
         still_full = (
-            old_days.where(
-                (F.col("created_at") <= edge)
+            self.raw().where(
+                (F.col("ist_day") <= hot_day(edge)) & (F.col("created_at") <= edge)
                 & ((F.col("request_payload") != "") | (F.col("response_payload") != "")))
-            .select(*PARTITIONS)
-            .distinct()
+            .select(F.col("_metadata.file_path").alias("path")).distinct()
         )
-        # One row per folder, and the driver lists folders anyway. A shuffle on these
-        # keys would send a whole day to one task; broadcast, they prune folders.
-        old_rows = old_days.join(F.broadcast(still_full), list(PARTITIONS), "left_semi")
-        rewritten = expire_payloads(old_rows, now, days)
-        staging = fresh_path(self.spark, "blanked")
-        # The copy holds payloads past their time: it goes, whatever happens.
-        try:
-            rewritten.write.parquet(staging)
-            staged = self.spark.read.schema(contract.HOT_TABLE_SCHEMA).parquet(staging)
-            self._write(staged)
-            return staged.count()
-        finally:
-            drop_folder(self.spark, staging)
+        # One row per file, as many as the driver lists anyway.
+        marker = "/" + self.path.rsplit("/", 1)[1] + "/"
+        full = {unquote(row["path"].rsplit(marker, 1)[1]) for row in still_full.collect()}
+        rewritten = 0
+        # Files made by compaction stay known as such.
+        for compacted in (True, False):
+            old = self.table.files(lambda file: file.path in full and compacted
+                                   == file.write_id.startswith(COMPACTED))
+            if old:
+                prefix = COMPACTED if compacted else "blanked-"
+                self.table.replace(old, expire_payloads(self.table.read(old), now, days),
+                                   f"{prefix}{uuid.uuid4().hex}")
+                rewritten += sum(file.rows for file in old)
+        return rewritten
+
+    def vacuum(self, grace: float) -> int:
+        """Delete files that compaction or retention took out `grace` seconds ago."""
+        return self.table.vacuum(grace)
+
+
+def _micros(at: datetime) -> int:
+    """Microseconds since 1970 of a time in UTC."""
+    return (at.replace(tzinfo=at.tzinfo or timezone.utc)
+            - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,42 +12,71 @@ from callstrata.operators.dedup import hot_final
 from callstrata.operators.ingest import (
     DEFAULT_ENVIRONMENT, hot_rejection, hot_rows, map_hot_row,
 )
-from callstrata.session import prepare
-from callstrata.sources.files import (
-    drop_folder, list_folders, partition_value, path_exists, write_partitions,
-)
+from callstrata.sources.committed import CommittedTable
 
-PARTITIONS = ("parked_day", "write_id")
+PARTITIONS = ("parked_day", "reason")
+#: Why good messages wait whose rows could not be written.
+HOT_FAILED = "hot_write_failed"
+CLEARED_SCHEMA = """
+    reason STRING, attempts INT, parked_at TIMESTAMP, cleared_at TIMESTAMP, cleared_day STRING
+"""
 
 
 class Quarantine:
+    """Parked messages, and when each was cleared."""
+
     def __init__(self, spark: SparkSession, path: str):
-        self.spark = prepare(spark)  # days and minutes are cut in UTC
+        self.spark = spark
         self.path = path.rstrip("/")
+        self.table = CommittedTable(
+            spark, f"{self.path}/parked", contract.QUARANTINE_SCHEMA, PARTITIONS,
+            sort_by=("parked_at",), ranges=("attempts",), options={"compression": "zstd"})
+        self.cleared_table = CommittedTable(
+            spark, f"{self.path}/cleared", CLEARED_SCHEMA, ("cleared_day",),
+            sort_by=("cleared_at",), options={"compression": "zstd"})
 
     def write(self, rows: DataFrame, write_id: str, batch_id: int = 0) -> None:
         """Park messages with body, reason, cold_written and parked_at."""
-        rows = rows.select(
-            "body", "reason", "cold_written", "parked_at",
+        attempts = F.col("attempts") if "attempts" in rows.columns else F.lit(0)
+        self.table.write(rows.select(
+            "body", "cold_written", "parked_at",
             F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.date_format("parked_at", "yyyy-MM-dd").alias("parked_day"),
-            F.lit(write_id).alias("write_id"),
-        )
-        write_partitions(rows, self.path, PARTITIONS, sort_by=("parked_at",),
-                         options={"compression": "zstd"})
+            attempts.cast("int").alias("attempts"),
+            F.date_format("parked_at", "yyyy-MM-dd").alias("parked_day"), "reason",
+        ), write_id)
 
     def rows(self) -> DataFrame:
-        if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], contract.QUARANTINE_SCHEMA)
-        return self.spark.read.schema(contract.QUARANTINE_SCHEMA).parquet(self.path)
+        """Messages that wait now."""
+        return self.table.read()
+
+    def cleared(self) -> DataFrame:
+        """Messages that no longer wait, without their bodies."""
+        return self.cleared_table.read()
+
+    def withdraw(self, write_id: str) -> None:
+        """Take back what a write parked: it went through at another try."""
+        self.table.remove(self.table.files(lambda file: file.write_id == write_id))
+
+    def clear(self, files, cleared_at, write_id: str) -> None:
+        """Take files out, noting when their messages ceased to wait. Runs again safely."""
+        rows = self.table.read(files).withColumn("cleared_at", cleared_at)
+        self.cleared_table.write(rows.select(
+            "reason", "attempts", "parked_at", "cleared_at",
+            F.date_format("cleared_at", "yyyy-MM-dd").alias("cleared_day")), write_id)
+        self.table.remove(files)
+
+    def compact(self, *, most: int = 8, settled: float = 3600) -> int:
+        """Merge small files. Returns the number of files replaced."""
+        return self.table.merge_small(most=most, settled=settled)
 
     def drop_expired(self, now: datetime, days: int = contract.QUARANTINE_RETENTION_DAYS) -> int:
+        """Drop messages parked too long ago, by whole days. Returns the number of days."""
         edge = (now - timedelta(days=days)).strftime("%Y-%m-%d")
-        folders = [folder for folder in list_folders(self.spark, f"{self.path}/parked_day=*")
-                   if partition_value(folder, "parked_day") < edge]
-        for folder in folders:
-            drop_folder(self.spark, folder)
-        return len(folders)
+        old = self.table.files(lambda file: file.partition("parked_day") < edge)
+        if old:
+            at = F.lit(now).cast("timestamp")
+            self.clear(old, at, f"expired-{uuid.uuid4().hex}")
+        return len({file.partition("parked_day") for file in old})
 
 
 def replay_quarantine(parked: DataFrame, hot: DataFrame,
@@ -74,12 +104,18 @@ def replay_cold(cold_events: DataFrame, hot: DataFrame, received_at,
 
     The archive does not hold every field; those it lacks take their defaults.
     """
-    fit = cold_events.where(hot_rejection().isNull())
+    fit = cold_events.where(hot_rejection().isNull() & F.col("hot_reason").isNull())
     # Distinct first: an id with very many copies then sends few rows to the join.
     missing = fit.join(hot.select("request_id").distinct(), "request_id", "left_anti")
-    filled = missing.withColumns({
+    return archived_rows(missing, received_at, environment)
+
+
+def archived_rows(events: DataFrame, received_at,
+                  environment: str = DEFAULT_ENVIRONMENT) -> DataFrame:
+    """Hot rows of archived events. Fields that the archive lacks take their defaults."""
+    filled = events.withColumns({
         name: F.lit(None).cast("string")
-        for name in contract.WIRE_COLUMNS if name not in missing.columns
+        for name in contract.WIRE_COLUMNS if name not in events.columns
     }).withColumns({
         "user_id": F.nullif(F.col("user_id"), F.lit("unknown")),
         "payload_truncated": was_cut(F.col("request_payload"))

@@ -8,40 +8,41 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callstrata import contract
 from callstrata.operators.rollup import ROLLUP_KEYS, rollup_1m, rollup_merge
-from callstrata.session import prepare
-from callstrata.sources.files import (
-    drop_folder, list_folders, partition_value, path_exists, write_partitions,
-)
+from callstrata.sources.committed import CommittedTable
 
-PARTITIONS = ("rollup_day", "write_id")
+PARTITIONS = ("rollup_day",)
+#: Partials of a batch are merged with others only when it will not be tried again.
+SETTLED = 3600
 
 
 class RollupTable:
     def __init__(self, spark: SparkSession, path: str):
-        self.spark = prepare(spark)  # days and minutes are cut in UTC
+        self.spark = spark
         self.path = path.rstrip("/")
+        self.table = CommittedTable(
+            spark, path, contract.ROLLUP_SCHEMA, PARTITIONS, sort_by=ROLLUP_KEYS,
+            options={"compression": "zstd"})
 
     def add(self, hot_rows: DataFrame, write_id: str) -> None:
         """Add the partial sums of newly inserted hot rows."""
-        rows = rollup_1m(hot_rows).withColumns({
-            "rollup_day": F.date_format("window_start", "yyyy-MM-dd"),
-            "write_id": F.lit(write_id),
-        })
-        write_partitions(rows, self.path, PARTITIONS, sort_by=ROLLUP_KEYS,
-                         options={"compression": "zstd"})
+        self.table.write(rollup_1m(hot_rows).withColumn(
+            "rollup_day", F.date_format("window_start", "yyyy-MM-dd")), write_id)
 
     def partials(self) -> DataFrame:
-        if not path_exists(self.spark, self.path):
-            return self.spark.createDataFrame([], contract.ROLLUP_SCHEMA)
-        return self.spark.read.schema(contract.ROLLUP_SCHEMA).parquet(self.path)
+        return self.table.read()
 
     def merged(self) -> DataFrame:
         return rollup_merge(self.partials())
 
+    def compact(self, *, most: int = 8, settled: float = SETTLED) -> int:
+        """Merge partial sums of days with many of them. Returns the files replaced."""
+        return self.table.merge_small(
+            most=most, settled=settled,
+            combine=lambda rows: rollup_merge(rows).withColumn(
+                "rollup_day", F.date_format("window_start", "yyyy-MM-dd")))
+
     def drop_expired(self, now: datetime, days: int = contract.ROLLUP_RETENTION_DAYS) -> int:
         edge = (now - timedelta(days=days)).strftime("%Y-%m-%d")
-        folders = [folder for folder in list_folders(self.spark, f"{self.path}/rollup_day=*")
-                   if partition_value(folder, "rollup_day") < edge]
-        for folder in folders:
-            drop_folder(self.spark, folder)
-        return len(folders)
+        old = self.table.files(lambda file: file.partition("rollup_day") < edge)
+        self.table.remove(old)
+        return len({file.partition("rollup_day") for file in old})

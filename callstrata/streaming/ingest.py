@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from callstrata import contract
 from callstrata.operators.dedup import not_yet_cold
 from callstrata.operators.ingest import (
     DEFAULT_ENVIRONMENT, NOT_ARCHIVED, map_hot_row, parse_messages, quarantine_rows,
@@ -17,7 +18,8 @@ from callstrata.operators.ingest import (
 from callstrata.sources.cold import ColdArchive
 from callstrata.sources.files import together, write_partitions
 from callstrata.sources.hot import HotTable
-from callstrata.sources.quarantine import Quarantine
+from callstrata.sources.ledger import Ledger
+from callstrata.sources.quarantine import HOT_FAILED, Quarantine
 from callstrata.sources.rollups import RollupTable
 
 
@@ -29,20 +31,26 @@ class Archive:
     cold: ColdArchive
     quarantine: Quarantine
     rollup: RollupTable
+    ledger: Ledger
     skipped_path: str
     environment: str
+    #: Park good messages when their rows cannot be written, instead of failing the batch.
+    park_hot_failures: bool = False
 
     @classmethod
     def at(cls, spark: SparkSession, path: str,
-           environment: str = DEFAULT_ENVIRONMENT) -> Archive:
+           environment: str = DEFAULT_ENVIRONMENT, *,
+           park_hot_failures: bool = False) -> Archive:
         path = path.rstrip("/")
         return cls(
             hot=HotTable(spark, f"{path}/hot"),
             cold=ColdArchive(spark, f"{path}/cold", environment),
             quarantine=Quarantine(spark, f"{path}/quarantine"),
             rollup=RollupTable(spark, f"{path}/rollup"),
+            ledger=Ledger(spark, f"{path}/replays"),
             skipped_path=f"{path}/skipped",
             environment=environment,
+            park_hot_failures=park_hot_failures,
         )
 
     def ingest(self, messages: DataFrame, batch_id: int, *, source: str) -> None:
@@ -67,9 +75,10 @@ class Archive:
             good = events.where("reason IS NULL")
 
             def write_cold() -> None:
-                known = self.cold.request_keys(
-                    [row.cold_day for row in archived], except_write=write_id)
+                days = [row.cold_day for row in archived]
                 size = sum(row["count"] for row in archived)
+                known = self.cold.index.known(
+                    events.select("s3_request_key"), days, except_write=write_id, size=size)
                 self.cold.write(not_yet_cold(events, known, size), write_id)
 
             def write_skipped() -> None:
@@ -85,18 +94,46 @@ class Archive:
             if first:
                 together(messages.sparkSession, *first)
             if None in reasons:
-                together(
-                    messages.sparkSession,
-                    lambda: self.hot.write(
-                        map_hot_row(good, self.environment), write_id, batch_id,
-                        sum(row["count"] for row in counts if row.reason is None)),
-                    lambda: self.rollup.add(
-                        good.withColumn("created_at", F.try_to_timestamp("created_at")), write_id),
-                )
+                size = sum(row["count"] for row in counts if row.reason is None)
+                if self.park_hot_failures:
+                    if self._write_hot(good, write_id, batch_id, size):
+                        self.rollup.add(counted(good), write_id)
+                else:
+                    together(
+                        messages.sparkSession,
+                        lambda: self._write_hot(good, write_id, batch_id, size),
+                        lambda: self.rollup.add(counted(good), write_id))
         finally:
             parsed.unpersist()
 
 
+    def _write_hot(self, good: DataFrame, write_id: str, batch_id: int, size: int) -> bool:
+        """True once the rows are in. If they cannot be written, and failures are to be
+        parked, the messages wait in quarantine: cold has them, and the batch goes on."""
+        try:
+            self.hot.write(map_hot_row(good, self.environment), write_id, batch_id, size)
+        except Exception:
+            if not self.park_hot_failures:
+                raise
+            # A commit is all or nothing, so none of the rows is in.
+            self.quarantine.write(good.withColumns({
+                "reason": F.lit(HOT_FAILED), "cold_written": F.lit(True),
+                "parked_at": F.col("received_at")}), f"{write_id}-hot", batch_id)
+            return False
+        # An earlier try of this batch may have parked them.
+        self.quarantine.withdraw(f"{write_id}-hot")
+        return True
+
+
+def counted(good: DataFrame) -> DataFrame:
+    """What the rollup needs of good events, with the values that their rows get."""
+    return good.withColumns({
+        "created_at": F.try_to_timestamp("created_at"),
+        **{name: F.coalesce(F.col(name), F.lit(value))
+           for name, value in contract.REQUIRED_DEFAULTS.items()},
+    })
+
+
 def stream_identity(spark: SparkSession, checkpoint: str) -> str:
     """The id that a stream keeps in its checkpoint: the same after a restart, another
     one for a new checkpoint."""

@@ -86,7 +86,7 @@ def test_each_bad_message_is_set_aside_alone(spark):
         "[" + body() + "]": "unparseable",
         body() + " x": "unparseable",
         " " + body() + " \n": None,
-        body(latency_ms="many"): "unparseable",
+        body(latency_ms="many"): "bad_field",
         body(schema_version=2): "unsupported_version",
         json.dumps({k: v for k, v in FULL.items() if k != "schema_version"}):
             "unsupported_version",
@@ -276,7 +276,7 @@ def test_streams_with_own_checkpoints_do_not_overwrite_each_other(spark, place):
 def test_newer_versions_are_skipped_before_types_are_judged(spark):
     assert reasons(
         spark, body(schema_version=2, latency_ms="fast"), body(latency_ms="fast")
-    ) == ["unsupported_version", "unparseable"]
+    ) == ["unsupported_version", "bad_field"]
 
 
 def test_archived_events_get_their_own_payloads(spark, place):
