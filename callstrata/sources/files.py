@@ -85,9 +85,9 @@ def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
     found, walk = [], file_system.listFiles(hadoop_path, True)
     while walk.hasNext():
         status = walk.next()
-        name = status.getPath().getName()
-        if not name.startswith(("_", ".")):
-            found.append((status.getPath().toString()[len(root):], status.getLen()))
+        path = status.getPath().toString()[len(root):]
+        if not any(part.startswith(("_", ".")) for part in path.split("/")):
+            found.append((path, status.getLen()))
     return sorted(found)
 
 
