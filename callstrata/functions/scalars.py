@@ -32,7 +32,9 @@ def sanitize_segment(text: Column) -> Column:
 
 def cold_prefix(day: Column, vendor: Column, endpoint: Column, user: Column,
                 request_id: Column) -> Column:
-    """Folder of one event. The vendor is a controlled id and is kept as it is."""
+    """Folder of one event. The vendor is a controlled id and is kept as it is; an absent
+    one leaves its segment empty."""
+    vendor = F.coalesce(vendor, F.lit(""))
     return F.concat_ws(
         "/", day, vendor, sanitize_segment(endpoint), sanitize_segment(user), request_id
     )

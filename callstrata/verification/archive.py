@@ -81,7 +81,7 @@ def cold_archive(spark: SparkSession, sf_dir: str) -> ColdArchive:
 
 @query(over_wire(f"""SELECT prefix || '/' || kind || '.json.gz' AS s3_key, kind,
     '{{"meta":{{"request_id":' || to_json(request_id) || ',"service":' || to_json(service)
-    || ',"vendor_id":' || to_json(vendor_id) || ',"endpoint":' || to_json(endpoint)
+    || ',"vendor_id":' || coalesce(to_json(vendor_id), 'null') || ',"endpoint":' || to_json(endpoint)
     || ',"created_at":' || to_json(created_at) || ',"environment":"staging"}},"payload":'
     || to_json(CASE kind WHEN 'request' THEN request_payload ELSE response_payload END) || '}}'
     AS document
@@ -92,7 +92,8 @@ def sink_cold_payload(spark, sf_dir):
 
 
 _META_DEFAULTS = {"user_id": "unknown", "pan_masked": "", "mobile_last4": "",
-                  "aadhaar_last4_hash": "", "consent_id": "", "request_hash": ""}
+                  "aadhaar_last4_hash": "", "consent_id": "", "request_hash": "",
+                  "vendor_id": ""}
 _META_SQL = ", ".join(
     f"coalesce({name}, '{_META_DEFAULTS[name]}') AS {name}" if name in _META_DEFAULTS else name
     for name in contract.COLD_META_COLUMNS)
@@ -151,14 +152,17 @@ def replay_parked(spark, sf_dir):
     return replay_quarantine(parked, hot).drop("delivery")
 
 
-@query(over_wire(f"""SELECT request_id, vendor_id, endpoint, user_id, created_at, status,
+REBUILT_SQL = f"""SELECT request_id, vendor_id, endpoint, user_id, created_at, status,
     latency_ms, request_payload, response_payload, payload_truncated, s3_request_key,
     CASE WHEN lost THEN '' ELSE mobile_hash END AS mobile_hash
     FROM (SELECT *, row_number() OVER (PARTITION BY request_id
         ORDER BY CASE WHEN lost THEN delivery ELSE -delivery END) AS rn
       FROM (SELECT *, bool_and(created_at {_DURING}) OVER (PARTITION BY request_id) AS lost
         FROM ({hot_row_select(', delivery')})))
-    WHERE rn = 1"""))
+    WHERE rn = 1"""
+
+
+@query(over_wire(REBUILT_SQL))
 def replay_cold_to_hot(spark, sf_dir):
     """Hot rows of an hour are lost and rebuilt from the archive."""
     hot = dedup.hot_final(hot_rows(messages(spark, sf_dir)))
@@ -321,7 +325,7 @@ def tier_label(spark, sf_dir):
     CASE WHEN cold_copies > 0 AND hot_copies > 0 THEN 'archived' WHEN cold_copies > 0 THEN 'cold_only'
       WHEN hot_copies > 0 THEN 'hot_only' ELSE 'parked_only' END AS verdict
     FROM (SELECT request_id, count(*) AS parked FROM w WHERE reason IN
-        ('bad_request_id', 'bad_stage', 'bad_created_at') GROUP BY 1)
+        ('bad_field', 'bad_request_id', 'bad_stage', 'bad_created_at') GROUP BY 1)
     FULL JOIN (SELECT request_id, count(*) AS cold_copies FROM ({ARCHIVED_SQL}) GROUP BY 1)
       USING (request_id)
     FULL JOIN (SELECT request_id, count(*) AS hot_copies FROM w WHERE reason IS NULL

@@ -14,11 +14,17 @@ WRONG_STAGE = 127
 WRONG_ID = 131
 WRONG_TIME = 137
 NO_ENVIRONMENT = 59
+NO_VENDOR = 61
+EMPTY_VENDOR = 83
+NO_STATUS = 71
+NO_LATENCY = 73
+WRONG_TYPE = 139
 
 # What rejection_reason must find, in its order of tests.
 REASON_SQL = f"""CASE
     WHEN event_id % {CUT_BODY} = 0 THEN 'unparseable'
     WHEN schema_version <> 1 THEN 'unsupported_version'
+    WHEN event_id % {WRONG_TYPE} = 0 THEN 'bad_field'
     WHEN event_id % {WRONG_ID} = 0 THEN 'bad_request_id'
     WHEN event_id % {WRONG_STAGE} = 0 THEN 'bad_stage'
     WHEN event_id % {WRONG_TIME} = 0 THEN 'bad_created_at' END"""
@@ -46,14 +52,20 @@ def wire_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "environment": F.when(planted(NO_ENVIRONMENT), F.lit(None)).otherwise(
             F.col("environment")),
         "payload_truncated": F.col("payload_truncated") == 1,
+        "vendor_id": F.when(planted(NO_VENDOR), F.lit(None)).when(
+            planted(EMPTY_VENDOR), "").otherwise(F.col("vendor_id")),
+        "status": F.when(planted(NO_STATUS), F.lit(None)).otherwise(F.col("status")),
+        "latency_ms": F.when(planted(NO_LATENCY) | planted(WRONG_TYPE), F.lit(None)).otherwise(
+            F.col("latency_ms")),
     })
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bodies as landed, with receipt time and delivery number."""
     events = wire_events(spark, sf_dir)
-    body = F.when(planted(CUT_BODY), F.expr("left(body, length(body) - 10)")).otherwise(
-        F.col("body"))
+    mistyped = F.concat(F.lit('{"latency_ms":"many",'), F.expr("substr(body, 2)"))
+    body = F.when(planted(CUT_BODY), F.expr("left(body, length(body) - 10)")).when(
+        planted(WRONG_TYPE), mistyped).otherwise(F.col("body"))
     return to_messages(events).select(
         body.alias("body"), F.col("ingested_at").alias("received_at"), "delivery")
 
@@ -68,6 +80,11 @@ SELECT * REPLACE (
      AS loan_lifecycle_stage,
    CASE WHEN event_id % {NO_ENVIRONMENT} = 0 THEN NULL ELSE environment END AS environment,
    payload_truncated = 1 AS payload_truncated,
+   CASE WHEN event_id % {NO_VENDOR} = 0 THEN NULL WHEN event_id % {EMPTY_VENDOR} = 0 THEN ''
+        ELSE vendor_id END AS vendor_id,
+   CASE WHEN event_id % {NO_STATUS} = 0 THEN NULL ELSE status END AS status,
+   CASE WHEN event_id % {NO_LATENCY} = 0 OR event_id % {WRONG_TYPE} = 0 THEN NULL
+        ELSE latency_ms END AS latency_ms,
    {', '.join(f"nullif({name}, '') AS {name}" for name in contract.OPTIONAL_WIRE_COLUMNS)}
  ),
  created_at AS event_time,
@@ -77,7 +94,7 @@ FROM ({DUCKDB_CALL_EVENTS})"""
 # The archive day: of the event, or of its receipt when its own time is unreadable.
 DAY_SQL = f"""strftime(CASE WHEN event_id % {WRONG_TIME} = 0 THEN ingested_at
     ELSE event_time END, '%Y/%m/%d')"""
-PREFIX_SQL = f"""{DAY_SQL} || '/' || vendor_id || '/' ||
+PREFIX_SQL = f"""{DAY_SQL} || '/' || coalesce(vendor_id, '') || '/' ||
     replace(substr(endpoint, 2), '/', '_') || '/' || coalesce(user_id, 'unknown') || '/' ||
     request_id"""
 
@@ -104,6 +121,10 @@ def hot_row_select(extra: str = "") -> str:
             columns.append(name)
         elif name in contract.OPTIONAL_WIRE_COLUMNS:
             columns.append(f"coalesce({name}, '') AS {name}")
+        elif name in ("vendor_id", "status"):
+            columns.append(f"coalesce({name}, '') AS {name}")
+        elif name == "latency_ms":
+            columns.append("coalesce(latency_ms, 0) AS latency_ms")
         elif name in ("s3_request_key", "s3_response_key"):
             kind = name.split("_")[1]
             columns.append(f"{PREFIX_SQL} || '/{kind}.json.gz' AS {name}")

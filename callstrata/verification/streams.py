@@ -97,8 +97,8 @@ def ingest_stream(spark, sf_dir):
 
 
 # Events whose time cannot be read are archived under the day of the run.
-@query(over_wire(f"""SELECT request_id, vendor_id, endpoint, status FROM ({ARCHIVED_SQL})
-    WHERE created_at <> 'not-a-date'"""))
+@query(over_wire(f"""SELECT request_id, coalesce(vendor_id, '') AS vendor_id, endpoint, status
+    FROM ({ARCHIVED_SQL}) WHERE created_at <> 'not-a-date'"""))
 def ingest_stream_cold(spark, sf_dir):
     """Cold metadata after streaming ingest: one per object."""
     return streamed_archive(spark, sf_dir).cold.metadata().where(
