@@ -182,8 +182,9 @@ def map_hot_row(events: DataFrame, environment: str = DEFAULT_ENVIRONMENT) -> Da
         "environment": default("environment", environment),
         "loan_application_number": F.col("loan_application_number"),
         "aadhaar_last4_encrypted": F.lit(""),
-        "request_payload": redact_payload(F.col("request_payload")),
-        "response_payload": redact_payload(F.col("response_payload")),
+        # an absent payload is one that cannot be redacted
+        **{name: F.coalesce(redact_payload(F.col(name)), F.lit(contract.UNPARSEABLE_MARK))
+           for name in ("request_payload", "response_payload")},
         "payload_truncated": F.coalesce(F.col("payload_truncated"), F.lit(False)).cast("int"),
         "request_hash": default("request_hash"),
     }

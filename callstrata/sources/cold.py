@@ -172,12 +172,13 @@ class ColdArchive:
         are small enough to be sent to all tasks, the documents are only filtered, and
         those that are wanted are joined."""
         named = rows.withColumn("_event", _event_of(F.col("s3_request_key")))
+        wanted = named.select("_event")
         for kind in ("request", "response"):
             side = self.documents(vendor_id, days).where(F.col("kind") == kind).select(
                 _event_of(F.col("s3_key")).alias("_event"),
                 F.col("payload").alias(f"{kind}_payload"))
             if few:
-                side = side.join(F.broadcast(named.select("_event")), "_event", "left_semi")
+                side = side.join(F.broadcast(wanted), "_event", "left_semi")
             named = named.join(side, "_event", "left")
         # A document that two sources wrote at once is there twice.
         return named.dropDuplicates(["_event"]).drop("_event")
