@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def held_for(evaluations: DataFrame, keys: list[str], minutes: int, condition: str = "breaching",
+def held_for(evaluations: DataFrame, keys: list[str], minutes: int | Column, condition: str = "breaching",
              step_minutes: int = 1) -> DataFrame:
     """Evaluations where the condition is true, with since when and if it fires.
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from callstrata.contract import FAILED_STATUSES, LATENCY_BUCKETS_MS, VENDOR_TIERS
 from callstrata.functions.quantiles import value_counts, weighted_quantile
 from callstrata.functions.scalars import minute_of
-from callstrata.operators.intervals import waiting_by_minute
+from callstrata.operators.intervals import parked_by_minute, waiting_by_minute
 from callstrata.operators.islands import held_for
 from callstrata.operators.rollup import bucket_counts
 
@@ -38,6 +38,7 @@ P1_ALL_FAILING = Rule("P1", 5, 0.0, 1)
 P1_LATENCY = Rule("P1", 5, 5000.0, 3)
 P1_TIMEOUTS = Rule("P1", 5, 1.0, 2)
 QUARANTINE_WINDOW_MINUTES = 5
+QUARANTINE_LEVEL = Rule("infra", 1, 0, 5)
 ERROR_RATE = Rule("infra", 5, 0.1, 2)
 ERRORS_PER_MINUTE = Rule("infra", 1, 5, 1)
 BACKLOG_AGE_SECONDS = Rule("infra", 1, 60, 2)
@@ -159,12 +160,22 @@ def alert_latency(rows: DataFrame, mode: str = "exact") -> DataFrame:
 
 
 def alert_quarantine(parked: DataFrame) -> DataFrame:
-    """Five-minute windows in which records were parked."""
+    """Five-minute windows in which records were parked: arrivals. Whether any still
+    waits is told by `alert_quarantine_level`."""
     span = F.window("parked_at", f"{QUARANTINE_WINDOW_MINUTES} minutes")
     return parked.groupBy(span.alias("w")).agg(F.count("*").alias("parked")).select(
         F.col("w.end").alias("window_end"), "parked", (F.col("parked") > 0).alias("firing"))
 
 
+def alert_quarantine_level(waiting: DataFrame, cleared: DataFrame, until=None,
+                           hold_minutes: int = QUARANTINE_LEVEL.hold_minutes) -> DataFrame:
+    """Minutes at which parked messages wait; fires once some do for five minutes, and
+    for as long as any is left, however long ago it was parked."""
+    minutes = parked_by_minute(waiting, cleared, until)
+    held = F.unix_seconds("window_end") - F.unix_seconds("active_since")
+    return minutes.withColumn("firing", held >= hold_minutes * 60)
+
+
 def _parked_windows(parked: DataFrame, minutes: int) -> DataFrame:
     per_minute = parked.groupBy(minute_of(F.col("parked_at")).alias("minute"), "reason").agg(
         F.count("*").alias("errors"))
@@ -201,13 +212,18 @@ def backlog(events: DataFrame) -> DataFrame:
 def alert_backlog(events: DataFrame, depth: float = BACKLOG_DEPTH.threshold,
                   age: float = BACKLOG_AGE_SECONDS.threshold) -> DataFrame:
     """Oldest event too old for two minutes, or too many waiting for three."""
-    state = backlog(events)
-    by_age = Rule("infra", 1, age, BACKLOG_AGE_SECONDS.hold_minutes)
-    by_depth = Rule("infra", 1, depth, BACKLOG_DEPTH.hold_minutes)
-    old = _held_overall(state, F.col("oldest_age_seconds"), by_age)
-    deep = _held_overall(state, F.col("waiting"), by_depth)
-    return old.withColumn("rule", F.lit("age")).unionByName(
-        deep.withColumn("rule", F.lit("depth")))
+    rules = {
+        "age": (F.col("oldest_age_seconds"), age, BACKLOG_AGE_SECONDS),
+        "depth": (F.col("waiting"), depth, BACKLOG_DEPTH),
+    }
+    # Both rules judge the same pass over the events.
+    judged = backlog(events).select("window_end", F.inline(F.array(*[
+        F.struct(F.lit(rule.tier).alias("tier"), F.lit(name).alias("rule"),
+                 value.cast("double").alias("value"), (value > limit).alias("breaching"),
+                 F.lit(rule.hold_minutes).alias("hold_minutes"))
+        for name, (value, limit, rule) in rules.items()])))
+    return held_for(judged, ["tier", "rule"], F.col("hold_minutes")).drop(
+        "breaching", "hold_minutes")
 
 
 def alert_read_spike(audit: DataFrame, bucket: str,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callstrata import contract
 from callstrata.operators.dedup import hot_final
+from callstrata.plans.alerts import alert_quarantine_level as quarantine_level
 from callstrata.session import fresh_path
 from callstrata.sources.hot import HotTable
 from callstrata.sources.quarantine import HOT_FAILED
@@ -135,3 +136,28 @@ def rebuild_hot_from_cold(spark, sf_dir):
         "request_id", "vendor_id", "endpoint", "user_id", "created_at", "status",
         "latency_ms", "request_payload", "response_payload", "payload_truncated",
         "s3_request_key", "mobile_hash")
+
+
+# The level at every minute of the time, then runs of minutes above zero.
+@query(over_wire(f""", c AS (
+      SELECT ingested_at AS seen, 1 AS delta FROM w WHERE (reason IS NOT NULL
+        AND reason <> 'unsupported_version') OR (reason IS NULL AND ingested_at {_DURING})
+      UNION ALL SELECT TIMESTAMP '2024-01-02 00:00:00', -1 FROM w
+        WHERE reason IS NULL AND ingested_at {_DURING}),
+    m AS (SELECT unnest(generate_series((SELECT date_trunc('minute', min(seen)) FROM c),
+      TIMESTAMP '2024-01-03 00:00:00', INTERVAL 1 MINUTE)) AS minute),
+    n AS (SELECT minute, (SELECT min(minute) FROM m) AS beginning, sum(coalesce(d, 0)) OVER (
+        ORDER BY minute) AS level FROM m LEFT JOIN (SELECT CASE
+          WHEN seen = date_trunc('minute', seen) THEN seen
+          ELSE date_trunc('minute', seen) + INTERVAL 1 MINUTE END AS minute, sum(delta) AS d
+        FROM c GROUP BY 1) USING (minute)),
+    s AS (SELECT *, coalesce(max(CASE WHEN level <= 0 THEN minute END) OVER (ORDER BY minute)
+        + INTERVAL 1 MINUTE, beginning) AS since FROM n)
+    SELECT minute AS window_end, CAST(level AS BIGINT) AS waiting, since AS active_since,
+      minute - since >= INTERVAL 5 MINUTE AS firing FROM s WHERE level > 0
+      """).replace(") , c AS", "), c AS"))
+def alert_quarantine_level(spark, sf_dir):
+    """Messages that wait in the stored quarantine, minute by minute, until the third day."""
+    quarantine = after_outage(spark, sf_dir).quarantine
+    return quarantine_level(quarantine.rows(), quarantine.cleared(),
+                            F.lit("2024-01-03 00:00:00").cast("timestamp"))

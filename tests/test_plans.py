@@ -107,3 +107,19 @@ def test_panel_modes(stored):
         run_panel("lat_p95", stored, mode="guess")
     empty = run_panel("fail_rate", stored.where(F.lit(False)))
     assert empty.first().failure_rate == 0.0
+
+
+def test_backlog_reads_the_events_once(spark, tmp_path):
+    from callstrata.plans.alerts import alert_backlog
+
+    rows = spark.range(500).selectExpr(
+        "timestamp_seconds(1704067200 + id * 37) AS created_at",
+        "timestamp_seconds(1704067200 + id * 37 + (id % 7) * 50) AS ingested_at")
+    rows.write.parquet(str(tmp_path / "events"))
+    alerts = alert_backlog(spark.read.parquet(str(tmp_path / "events")), depth=3)
+    alerts.collect()
+    plan = alerts._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and plan.count("ReusedExchange") == 1
+    # minutes, days, and the runs of each rule; one row per day goes to one task
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") == 4
+    assert plan.count("Exchange SinglePartition") == 1
