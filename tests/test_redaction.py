@@ -5,10 +5,13 @@ import hmac
 import json
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from callstrata.functions import masking
-from callstrata.functions.redaction import _codec, redact_payload, redact_text
+from callstrata.functions.redaction import (
+    _codec, redact, redact_deep, redact_payload, redact_text, write_deep,
+)
 
 
 def redacted(value):
@@ -165,3 +168,49 @@ def test_as_a_column(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     out = {r.i: r.o for r in frame.select("i", redact_payload(F.col("t")).alias("o")).collect()}
     assert [out[i] for i in range(len(texts))] == [expected for _, expected in TEXTS] + [None]
+
+
+# -- any depth ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("levels", [900, 1_100, 100_000])
+def test_depth_has_no_limit(levels):
+    decode, encode = _codec()
+    inner = '{"pan":"ABCDE1234F","2":1.0,"1":["9876543210",null,true,-0.5e3]}'
+    text = '[{"a":' * levels + inner + "}]" * levels
+    done = redact_text(text, decode, encode)
+    expected = '{"1":["******3210",null,true,-500],"2":1,"pan":"ABC****34F"}'
+    assert done == '[{"a":' * levels + expected + "}]" * levels
+    assert redact_text(text[:-1], decode, encode) == "[REDACTED:UNPARSEABLE]"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.recursive(
+    st.none() | st.booleans() | st.integers(-2**70, 2**70) | st.floats(allow_nan=False)
+    | st.text(max_size=12) | st.sampled_from(["9876543210", "ABCDE1234F", "a@b.co", "1234 5678 9012"]),
+    lambda inner: st.lists(inner, max_size=4) | st.dictionaries(
+        st.sampled_from(["pan", "Mobile_No", "x", "10", "9", "é", "account-no", ""]), inner,
+        max_size=5), max_leaves=25), st.booleans())
+def test_deep_path_equals_the_plain_one(node, spaced):
+    decode, encode = _codec()
+    text = json.dumps(node, indent=1 if spaced else None, allow_nan=False) if node not in (
+        float("inf"), float("-inf")) and "inf" not in repr(node) else "[]"
+    plain = redact(decode(text))
+    assert write_deep(redact_deep(text)) == encode(plain)
+
+
+@pytest.mark.parametrize("text", [
+    "", " ", "{", "[", "[1,]", "[1 2]", '{"a"}', '{"a":}', '{"a":1,}', "{1:2}", "nul", "NaN",
+    "[Infinity]", "01", "1.", "-", "'a'", '"\x01"', "[1]]", "{} x", '{"a" 1}', "[1}", '{"a":1]'])
+def test_deep_path_refuses_what_the_plain_one_refuses(text):
+    decode, _ = _codec()
+    with pytest.raises(ValueError):
+        decode(text)
+    with pytest.raises(ValueError):
+        redact_deep(text)
+
+
+def test_deep_path_takes_the_last_of_equal_keys():
+    text = '{"a":1,"b":"x","a":{"pan":"ABCDE1234F","pan":"XYZAB9876C"}}'
+    decode, encode = _codec()
+    assert write_deep(redact_deep(text)) == encode(redact(decode(text)))
