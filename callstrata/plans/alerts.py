@@ -109,10 +109,10 @@ def alert_all_failing(rows: DataFrame) -> DataFrame:
     return _evaluate(windows, F.col("calls"), none_ok, P1_ALL_FAILING)
 
 
-def alert_timeouts(rows: DataFrame) -> DataFrame:
+def alert_timeouts(rows: DataFrame, threshold: float = P1_TIMEOUTS.threshold) -> DataFrame:
     windows = sliding_calls(rows, P1_TIMEOUTS)
     per_second = F.col("timeouts") / (P1_TIMEOUTS.window_minutes * 60)
-    return _evaluate(windows, per_second, per_second > P1_TIMEOUTS.threshold, P1_TIMEOUTS)
+    return _evaluate(windows, per_second, per_second > threshold, P1_TIMEOUTS)
 
 
 def histogram_quantile(q: float) -> Column:

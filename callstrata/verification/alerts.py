@@ -122,6 +122,14 @@ def alert_p1_timeouts(spark, sf_dir):
     return alerts.alert_timeouts(hot_events(spark, sf_dir))
 
 
+# The sample has far less than one timeout a second.
+@query(over_hot(held_sql(
+    windows_sql("P1", 5, "count(*) FILTER (WHERE status = 'TIMEOUT') / 300.0::DOUBLE AS rate"),
+    "rate", "rate > 0.003", 2)))
+def alert_p1_timeouts_low(spark, sf_dir):
+    return alerts.alert_timeouts(hot_events(spark, sf_dir), threshold=0.003)
+
+
 @query(over_hot(windows_sql("P1", 5, f"""count(*) AS calls,
     count(*) FILTER (WHERE status = 'SUCCESS') AS successes, {FAILURES_SQL} AS failures,
     count(*) FILTER (WHERE status = 'TIMEOUT') AS timeouts""")))

@@ -11,13 +11,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from callstrata import contract
 from callstrata.operators.dedup import latest_copy
-from callstrata.session import fresh_path
+from callstrata.session import LARGE_STATE_CONF, fresh_path, keep_large_state
 from callstrata.sources.audit import stream_audit
 from callstrata.sources.rollups import RollupTable
 from callstrata.sources.wire import stream_messages
+from callstrata.streaming.alert_state import held_alert_stream
 from callstrata.streaming.ingest import Archive, start_ingest
 from callstrata.streaming.windows import alert_stream, dedup_stream, rollup_stream
-from callstrata.verification.alerts import FAILURES_SQL, windows_sql
+from callstrata.verification.alerts import FAILURES_SQL, SQL as BATCH_SQL, windows_sql
 from callstrata.verification.archive import ARCHIVED_SQL, AUDIT_SQL, audit_log
 from callstrata.verification.messages import hot_row_select, messages, over_wire
 from callstrata.verification.panels import over_hot
@@ -220,3 +221,40 @@ def audit_stream(spark, sf_dir):
     )
     return spark.read.parquet(path).groupBy("event_name", "bucket").agg(
         F.count("*").alias("records"))
+
+
+_HELD = {"p1_rate_high": "alert_p1_rate_high", "p1_rate_critical": "alert_p1_rate_critical",
+         "p1_all_failing": "alert_p1_all_failing", "p1_latency": "alert_p1_latency",
+         "p1_timeouts": "alert_p1_timeouts", "p2_rate_high": "alert_p2_rate_high"}
+
+
+@query(" UNION ALL ".join(f"SELECT *, '{rule}' AS rule FROM ({BATCH_SQL[name]})"
+                          for rule, name in _HELD.items()))
+def alert_stream_held(spark, sf_dir):
+    """All rules with their hold times, over files in no order. A last event, long after
+    all others, moves the watermark past them."""
+    path = fresh_path(spark, "rows")
+    rows = hot_events(spark, sf_dir).select("created_at", "vendor_id", "status", "latency_ms")
+    rows.repartition(FILES, F.xxhash64("created_at")).write.parquet(path)
+    spark.createDataFrame(
+        [("2030-01-01 00:00:00", "synoriq", "SUCCESS", 1)],
+        "created_at string, vendor_id string, status string, latency_ms bigint").withColumn(
+        "created_at", F.col("created_at").cast("timestamp")).coalesce(1).write.mode(
+        "append").parquet(path)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    return run_held(spark, stream)
+
+
+def run_held(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    """Run to the end of the input with state in RocksDB, as the operator needs it."""
+    before = {key: spark.conf.get(key, None) for key in LARGE_STATE_CONF}
+    keep_large_state(spark)
+    path = fresh_path(spark, "held")
+    try:
+        finish(held_alert_stream(stream, "20 days").writeStream.format("parquet")
+               .option("checkpointLocation", fresh_path(spark, "checkpoint"))
+               .trigger(availableNow=True).start(path))
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    return spark.read.parquet(path)
