@@ -3,7 +3,8 @@
 A window is 50 consecutive words. Words of a window that also starts in a document with
 a smaller doc_id are removed.
 
-1. Exact copies are one document here, the one with the smallest id.
+1. Rows with equal words are one document here, known by a fingerprint of its words, not
+   by doc_id, which may be absent or repeated. Its id is the smallest of its rows.
 2. Every window is put into a part by a prefix-independent mark of its words, the least
    hash of its 8-word grams. Windows in a row share a mark, so a part gets short
    stretches of text; equal windows always meet in one part. Marks that occur in one
@@ -12,15 +13,17 @@ a smaller doc_id are removed.
    that start at the windows form a tree, built by doubling the depth of its nodes (1,
    2, 4 ... words); a suffix alone in its node is a leaf and goes no further. Nodes at
    50 words are the repeats, and each keeps the smallest document id below it.
-4. A part with very many stretches is divided by the longest prefix, the window itself:
-   its nodes are rows of their own, and Spark takes the minimum for each.
+4. A part with more words than fit a group is divided by the longest prefix, the window
+   itself: its nodes are rows of their own, and Spark takes the minimum for each.
 
 Words are compared by 64-bit hashes.
 
 Defined results: a NULL or empty text has no words. Words are runs of other bytes than
-ASCII white space. A row without doc_id counts as later than all others. Repeated rows
-each get the same result; the smallest id of equal texts keeps its words. A text of
-fewer than 50 words loses none. An empty table gives no rows. Texts are read whole.
+ASCII white space. A row without doc_id counts as one with the largest id there can be:
+later than all others, and not earlier than another such row. Rows of equal ids do not
+cut each other. Repeated rows each get the same result; the smallest id of equal texts
+keeps its words. A text of fewer than 50 words loses none. An empty table gives no rows.
+Texts are read whole. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -43,8 +46,8 @@ GRAM = 8
 LATEST = (1 << 63) - 1
 #: Words in a group; a task needs about 100 bytes for each.
 GROUP_WORDS = 600_000
-#: A mark with more stretches than this is divided by whole windows.
-LARGE_PART = 1500
+#: A mark with more words than this is divided by whole windows.
+LARGE_PART = 300_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -120,26 +123,30 @@ def _scan(batches):
             [pa.array(fields[0].view(np.int64)), pa.array(fields[1].astype(np.int32)),
              pa.array(fields[2].astype(np.int32))], fields=list(mark.value_type))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(prints, pa.binary()), pa.array(counts, pa.int64()),
+            [batch.column("doc_id"), batch.column("id"), batch.column("h"),
+             pa.array(prints, pa.binary()), pa.array(counts, pa.int64()),
              pa.array(digests, pa.string()),
              pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)],
-            names=["id", "print", "n_words", "all_sha256", "marks"])
+            names=["doc_id", "id", "h", "print", "n_words", "all_sha256", "marks"])
 
 
-_SCANNED = ("id bigint, print binary, n_words bigint, all_sha256 string, "
-            "marks array<struct<mark:bigint,start:int,n:int>>")
+_SCANNED = ("doc_id bigint, id bigint, h bigint, print binary, n_words bigint, "
+            "all_sha256 string, marks array<struct<mark:bigint,start:int,n:int>>")
 
 
 def _stretches(batches):
     """The words of each marked stretch; of large parts the windows' hashes instead."""
-    hashes = word_hashes.WordHashes()
+    hashes, seen = word_hashes.WordHashes(), set()
     for batch in batches:
         rows = []
         for doc, text, fingerprint, marks in zip(*(batch.column(c).to_pylist() for c in (
                 "id", "text", "print", "found"))):
+            if fingerprint in seen:
+                continue  # a repeated row
             words = word_hashes.split(text)
             if _fingerprint(words) != fingerprint:
-                continue  # another text under the same id
+                continue  # another text with the same hash
+            seen.add(fingerprint)
             known = hashes.of(words)
             whole = None
             for m in marks:
@@ -147,10 +154,10 @@ def _stretches(batches):
                 if m["large"]:
                     if whole is None:
                         whole = word_hashes.runs(known, WINDOW)
-                    rows.append((m["mark"], doc, start, n, True,
+                    rows.append((m["mark"], doc, fingerprint, start, n, True,
                                  whole[start:start + n].tobytes()))
                 else:
-                    rows.append((m["mark"], doc, start, n, False,
+                    rows.append((m["mark"], doc, fingerprint, start, n, False,
                                  known[start:start + n + WINDOW - 1].tobytes()))
             if len(rows) > 2000:
                 yield _stretch_batch(rows)
@@ -159,10 +166,11 @@ def _stretches(batches):
 
 
 def _stretch_batch(rows):
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+    kinds = (pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(),
+             pa.binary())
     return pa.RecordBatch.from_arrays(
         [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-        names=["mark", "id", "start", "n", "large", "words"])
+        names=["mark", "id", "print", "start", "n", "large", "words"])
 
 
 def _group_tree(table: pa.Table) -> pa.Table:
@@ -185,7 +193,7 @@ def _group_tree(table: pa.Table) -> pa.Table:
     new[1:] = (position[1:] != position[:-1] + 1) | (owner[1:] != owner[:-1])
     at = np.flatnonzero(new)
     last = np.append(at[1:], len(start)) - 1 if len(at) else at
-    return pa.table({"id": pa.array(ids[owner[at]], pa.int64()),
+    return pa.table({"print": table.column("print").take(pa.array(owner[at])),
                      "first": pa.array(start[at], pa.int32()),
                      "last": pa.array(start[last], pa.int32())})
 
@@ -198,50 +206,60 @@ def _window_hashes(batches):
         offset = np.arange(len(hashes)) - np.repeat(np.cumsum(n) - n, n)
         yield pa.RecordBatch.from_arrays(
             [pa.array(hashes), pa.array(np.repeat(batch.column("id").to_numpy(), n)),
+             batch.column("print").take(pa.array(np.repeat(np.arange(len(n)), n))),
              pa.array((np.repeat(starts, n) + offset).astype(np.int32))],
-            names=["window", "id", "start"])
+            names=["window", "id", "print", "start"])
 
 
 def repeats(docs: DataFrame, scanned: DataFrame, first: DataFrame) -> DataFrame:
-    """id, first, last: runs of starts of windows that also start in an earlier
-    document, for the documents in `first` (print, first_id)."""
+    """print, first, last: runs of starts of windows that also start in an earlier
+    document, for the documents in `first` (print, first_id, first_h)."""
     marks = scanned.select("print", F.explode("marks").alias("m")).select("print", "m.*")
     shared = written(
         marks.groupBy("mark").agg(F.min("print").alias("a"), F.max("print").alias("b"),
-                                  F.count(F.lit(1)).alias("n_stretches"))
+                                  F.sum(F.col("n") + (WINDOW - 1)).alias("n_words"))
         .filter("a != b")
-        .select("mark", (F.col("n_stretches") > LARGE_PART).alias("large")), "shared-marks")
+        .select("mark", (F.col("n_words") > LARGE_PART).alias("large")), "shared-marks")
     found = (marks.join(shared, "mark")
              .groupBy("print").agg(F.collect_set(F.struct("mark", "start", "n", "large"))
                                    .alias("found")))
-    wanted = written(
-        found.join(first, "print").select(F.col("first_id").alias("id"), "print", "found"),
-        "marked-documents")
-    near = docs.join(checked_broadcast(wanted.select("id")), "id", "left_semi")
-    stretches = written(near.join(wanted, "id").mapInArrow(
-        _stretches, "mark bigint, id bigint, start int, n int, large boolean, words binary"),
-        "stretches")
+    wanted = written(found.join(first, "print"), "marked-documents")
+    stretches = written(_texts_of(docs, wanted).mapInArrow(
+        _stretches, "mark bigint, id bigint, print binary, start int, n int, large boolean, "
+        "words binary"), "stretches")
     small, large = stretches.filter("NOT large"), stretches.filter("large")
     total = small.agg(F.sum(F.col("n") + (WINDOW - 1))).first()[0] or 0
     groups = int(total // GROUP_WORDS + 1)
     trees = (small.withColumn("group", F.pmod(F.xxhash64("mark"), F.lit(groups)))
-             .groupBy("group").applyInArrow(_group_tree, "id bigint, first int, last int"))
-    windows = written(large.select("id", "start", "n", "words").mapInArrow(
-        _window_hashes, "window bigint, id bigint, start int"), "large-windows")
+             .groupBy("group").applyInArrow(_group_tree, "print binary, first int, last int"))
+    windows = written(large.select("id", "print", "start", "n", "words").mapInArrow(
+        _window_hashes, "window bigint, id bigint, print binary, start int"), "large-windows")
     least = written(windows.groupBy("window").agg(F.min("id").alias("least"),
                                                   F.max("id").alias("most"))
                     .filter("least < most").select("window", "least"), "large-nodes")
     divided = (windows.join(least, "window").filter("id > least")
-               .select("id", F.col("start").alias("first"), F.col("start").alias("last")))
+               .select("print", F.col("start").alias("first"), F.col("start").alias("last")))
     return trees.unionByName(divided)
 
 
+def _texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Documents of `wanted` with the text of their first row, found by its id and the
+    hash of its text; a row that is there several times comes as often."""
+    keys = wanted.select(F.col("first_id").alias("id"), F.col("first_h").alias("h"))
+    near = docs.join(checked_broadcast(keys), ["id", "h"], "left_semi")
+    return near.select("id", "h", "text").join(
+        wanted.withColumnsRenamed({"first_id": "id", "first_h": "h"}), ["id", "h"])
+
+
 def _remove(batches):
     for batch in batches:
-        removed, digests = [], []
-        for text, runs in zip(batch.column("text").to_pylist(),
-                              batch.column("runs").to_pylist()):
+        prints, removed, digests = [], [], []
+        for text, fingerprint, runs in zip(*(batch.column(c).to_pylist() for c in (
+                "text", "print", "runs"))):
             words = word_hashes.split(text)
+            if _fingerprint(words) != fingerprint:
+                continue  # another text with the same hash
+            prints.append(fingerprint)
             change = np.zeros(len(words) + 1, np.int64)
             for run in runs:
                 change[run["first"]] += 1
@@ -250,30 +268,31 @@ def _remove(batches):
             removed.append(len(words) - len(kept))
             digests.append(hashlib.sha256(b" ".join([words[i] for i in kept])).hexdigest())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array([_fingerprint(word_hashes.split(t)) for t in
-                                           batch.column("text").to_pylist()], pa.binary()),
-             pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
-            names=["id", "print", "n_cut", "cut_sha256"])
+            [pa.array(prints, pa.binary()), pa.array(removed, pa.int64()),
+             pa.array(digests, pa.string())], names=["print", "n_cut", "cut_sha256"])
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of `docs` (doc_id, text)."""
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LATEST)).alias("id"),
-                       "text")
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(LATEST)).alias("id"),
+                       F.xxhash64(F.col("text")).alias("h"), "text")
     scanned = written(rows.mapInArrow(_scan, _SCANNED), "scanned")
-    first = written(scanned.groupBy("print").agg(F.min("id").alias("first_id")), "first-copies")
+    first = written(
+        scanned.groupBy("print").agg(F.min(F.struct("id", "h")).alias("row"))
+        .select("print", F.col("row.id").alias("first_id"), F.col("row.h").alias("first_h")),
+        "first-copies")
     runs = written(
-        repeats(rows, scanned, first).groupBy("id")
-        .agg(F.collect_list(F.struct("first", "last")).alias("runs")), "repeats")
-    cut = written(
-        rows.join(checked_broadcast(runs.select("id")), "id", "left_semi")
-        .join(runs, "id").mapInArrow(
-            _remove, "id bigint, print binary, n_cut bigint, cut_sha256 string").distinct(),
-        "cut")
-    placed = (scanned.select("id", "print", "n_words", "all_sha256").join(first, "print")
+        repeats(rows, scanned, first).groupBy("print")
+        .agg(F.collect_list(F.struct("first", "last")).alias("runs")).join(first, "print"),
+        "repeats")
+    cut = written(_texts_of(rows, runs).mapInArrow(
+        _remove, "print binary, n_cut bigint, cut_sha256 string").distinct(), "cut")
+    placed = (scanned.select("doc_id", "id", "print", "n_words", "all_sha256")
+              .join(first, "print")
               .withColumn("copy", (F.col("id") > F.col("first_id")) & (F.col("n_words") >= WINDOW)))
-    return (placed.join(cut, ["id", "print"], "left")
-            .select(F.when(F.col("id") != LATEST, F.col("id")).alias("doc_id"), "n_words",
+    return (placed.join(cut, "print", "left")
+            .select("doc_id", "n_words",
                     F.when(F.col("copy"), F.col("n_words"))
                     .otherwise(F.coalesce("n_cut", F.lit(0).cast("long"))).alias("n_removed"),
                     F.when(F.col("copy"), F.lit(EMPTY_SHA))
