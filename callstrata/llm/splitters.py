@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from callstrata.llm.common import unit_hash, written
+from callstrata.llm.common import unit_hash, unused, written
 
 MIN_RANGES, MAX_RANGES = 1024, 65_536
 ROWS_PER_RANGE = 500_000
@@ -76,14 +76,15 @@ def _splitters(sample: list, ranges: int) -> list[tuple[int, int, int]]:
 def shard(docs: DataFrame, shards: int, whole_group: float = 0.01,
           carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, size, text_crc32, shard, slot of every row of `docs` (doc_id, text),
-    and the columns named in `carry`, which must not clash with these."""
+    and the columns named in `carry`, whatever their names; those that clash with the
+    result's are lengthened by underscores."""
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = written(
         docs.select(
             F.col("doc_id").cast("long").alias("doc_id"),
             (F.octet_length(text) + 8).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.xxhash64(F.col("text")).alias("h"), *carry)
+            F.xxhash64(F.col("text")).alias("h"), _carried(carry).alias("carried"))
         .withColumn("key", F.struct(
             "h", F.coalesce("doc_id", F.lit(LOWEST)).alias("d"),
             F.monotonically_increasing_id().alias("r"))).drop("h"),
@@ -91,7 +92,7 @@ def shard(docs: DataFrame, shards: int, whole_group: float = 0.01,
     total = keyed.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
     if not total.n:
         return keyed.select("doc_id", "size", "text_crc32", F.lit(0).alias("shard"),
-                            F.lit(0).cast("long").alias("slot"), *carry)
+                            F.lit(0).cast("long").alias("slot"), *_released(carry))
     ranges = min(MAX_RANGES, max(MIN_RANGES, total.n // ROWS_PER_RANGE))
     # half by size, half by number: a range then bounds both its bytes and its rows
     chance = (F.col("size") / (2.0 * total.bytes) + 0.5 / total.n) * (
@@ -122,19 +123,37 @@ def shard(docs: DataFrame, shards: int, whole_group: float = 0.01,
         running.select(
             "doc_id", "size", "text_crc32",
             F.least(F.floor(middle / F.lit(share)), F.lit(shards - 1)).cast("int").alias("shard"),
-            (F.col("rows_before") + F.col("nth") - 1).alias("nth"), *carry), "shard-rows")
+            (F.col("rows_before") + F.col("nth") - 1).alias("nth"), "carried"), "shard-rows")
     first = assigned.groupBy("shard").agg(F.min("nth").alias("first"))
     return assigned.join(F.broadcast(first), "shard").select(
         "doc_id", "size", "text_crc32", "shard",
-        (F.col("nth") - F.col("first")).cast("long").alias("slot"), *carry)
+        (F.col("nth") - F.col("first")).cast("long").alias("slot"), *_released(carry))
+
+
+RESULT = ("doc_id", "size", "text_crc32", "shard", "slot")
+
+
+def _carried(carry: tuple[str, ...]):
+    """Other columns as one, so that their names meet no others on the way."""
+    return F.struct(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(carry)]) \
+        if carry else F.lit(None).cast("int")
+
+
+def _released(carry: tuple[str, ...]) -> list:
+    """The same columns again; a name that the result has is lengthened."""
+    names, found = list(RESULT), []
+    for i, name in enumerate(carry):
+        names.append(unused(names, name))
+        found.append(F.col(f"carried.c{i}").alias(names[-1]))
+    return found
 
 
 def write_shards(docs: DataFrame, shards: int, path: str, rows_per_file: int = 100_000) -> None:
-    """All columns of `docs` as Parquet, a folder per shard, files in slot order."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "size", "text_crc32",
-                                                        "shard", "slot"))
-    part = F.floor(F.col("slot") / rows_per_file)
-    (shard(docs, shards, carry=("text", *others))
-     .withColumn("_part", part)
-     .repartition("shard", "_part").sortWithinPartitions("shard", "slot").drop("_part")
+    """All columns of `docs` as Parquet, a folder per shard, files in slot order. Columns
+    named as one of shard's results get a longer name."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    placed = shard(docs, shards, carry=("text", *others))
+    part = unused(placed.columns, "part")
+    (placed.withColumn(part, F.floor(F.col("slot") / rows_per_file))
+     .repartition("shard", part).sortWithinPartitions("shard", "slot").drop(part)
      .write.partitionBy("shard").parquet(path))
