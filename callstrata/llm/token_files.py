@@ -68,8 +68,8 @@ def _byte_characters() -> dict[int, str]:
 
 
 class CachedEncoder:
-    """Encodes whole texts as bytes of ids. It is broadcast, so one object, and what
-    it has cached, serves all tasks of a worker."""
+    """Encodes whole texts as bytes of ids. One object, and what it has cached, serves
+    all tasks of a worker."""
 
     def __init__(self, definition: str, dtype: str):
         self.definition, self.dtype = definition, dtype
@@ -247,20 +247,27 @@ class SequenceFile:
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, vocabulary: int,
                       length: int = LENGTH) -> DataFrame:
-    """Writes `docs` (doc_id, text) below `folder`; returns the stored manifest:
-    part, tokens_file, documents_file, n_docs, n_tokens."""
+    """Writes `docs` (doc_id, text) to a new folder below `folder`; returns the stored
+    manifest: part, tokens_file, documents_file (below `folder`), n_docs, n_tokens.
+    Files of other calls stay."""
     spark = docs.sparkSession
     dtype = "<u2" if vocabulary <= 1 << 16 else "<u4"
     with open(tokenizer_path, encoding="utf-8") as source:
-        encoder = spark.sparkContext.broadcast(CachedEncoder(source.read(), dtype))
+        # plain values: workers need not have this package to read them
+        shared = spark.sparkContext.broadcast({"definition": source.read(), "dtype": dtype})
     end = np.array([END_ID], dtype).tobytes()
-    files, path = pafs.FileSystem.from_uri(folder)
+    call = uuid.uuid4().hex
+    files, path = pafs.FileSystem.from_uri(f"{folder}/{call}")
     files.create_dir(path, recursive=True)
 
     def write(batches):
-        store, top = pafs.FileSystem.from_uri(folder)
+        store, top = pafs.FileSystem.from_uri(f"{folder}/{call}")
         name = uuid.uuid4().hex
         tokens, documents = f"{top}/tokens-{name}.arrow", f"{top}/documents-{name}.arrow"
+        # kept with the broadcast value, so that it serves all tasks of a worker
+        encoder = shared.value.setdefault("encoder", None) or CachedEncoder(
+            shared.value["definition"], shared.value["dtype"])
+        shared.value["encoder"] = encoder
         writer = index = None
         n_docs = 0
         for batch in batches:
@@ -271,7 +278,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, vocabul
             starts, counts = [], []
             for text in batch.column("text").to_pylist():
                 starts.append(writer.tokens)
-                writer.add(encoder.value.encode(text or "") + end)
+                writer.add(encoder.encode(text or "") + end)
                 counts.append(writer.tokens - starts[-1])
             n_docs += len(starts)
             index.write_batch(pa.RecordBatch.from_arrays(
@@ -284,8 +291,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, vocabul
                 sink.close()
             yield pa.RecordBatch.from_pydict({
                 "part": pa.array([TaskContext.get().partitionId()], pa.int32()),
-                "tokens_file": [tokens.rsplit("/", 1)[1]],
-                "documents_file": [documents.rsplit("/", 1)[1]],
+                "tokens_file": [f"{call}/tokens-{name}.arrow"],
+                "documents_file": [f"{call}/documents-{name}.arrow"],
                 "n_docs": pa.array([n_docs], pa.int64()),
                 "n_tokens": pa.array([writer.tokens], pa.int64())})
 
@@ -300,7 +307,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, vocabul
     named = {name for row in manifest.select("tokens_file", "documents_file").collect()
              for name in row}
     for info in files.get_file_info(pafs.FileSelector(path)):
-        if info.base_name not in named:
+        if f"{call}/{info.base_name}" not in named:
             files.delete_file(info.path)
     return manifest
 

@@ -4,11 +4,13 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from callstrata.llm import repeat_trees
+from callstrata.llm import digest_index, repeat_trees, splitters, token_files
+from callstrata.session import fresh_path
 
 from .conftest import prose
-from .test_operators import multiset, plain_repeats
+from .test_operators import BPE, multiset, plain_repeats
 
 REPORT = ("doc_id", "n_words", "n_removed", "kept_sha256")
 
@@ -60,3 +62,90 @@ def test_a_third_of_all_rows_without_id_and_alike(spark):
     rows = [(None, prose(30, 120))] * 60 + [(i, prose(i + 40, 80)) for i in range(60)] + [
         (7, prose(30, 120)[10:])]
     _with_ids(rows, repeats_of(spark, rows, 6))
+
+
+# -- the digest index ------------------------------------------------------------------
+
+
+BATCH = [(1, "a"), (2, "a"), (2, "a"), (3, "b"), (None, "c"), (None, "c"), (4, None), (5, "")]
+
+
+def stays(report):
+    """keep_id of the texts of which exactly one row stays, and all texts known before."""
+    rows = report.collect()
+    kept = Counter(r.text_sha256 for r in rows if r.kept)
+    assert set(kept.values()) <= {1}
+    return ({r.text_sha256: r.keep_id for r in rows if r.kept},
+            {r.text_sha256 for r in rows if r.known})
+
+
+def documents(spark, rows, partitions):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(partitions)
+
+
+@pytest.mark.parametrize("died_at", ["append", "files", "after"])
+def test_index_batch_that_runs_again_keeps_its_texts(spark, monkeypatch, died_at):
+    index = digest_index.DigestIndex(spark, fresh_path(spark, "index"), buckets=4)
+    stays(index.deduplicate(documents(spark, [(9, "b"), (10, "z")], 2), 0))
+    if died_at == "after":
+        first = stays(index.deduplicate(documents(spark, BATCH, 3), 1))
+    else:
+        def die(*_):
+            raise RuntimeError
+        with monkeypatch.context() as patch:
+            patch.setattr(index, died_at, die)
+            with pytest.raises(RuntimeError):
+                index.deduplicate(documents(spark, BATCH, 3), 1)
+        first = None
+    again = stays(index.deduplicate(documents(spark, BATCH[::-1], 7), 1))
+    assert len(again[0]) == 3 and len(again[1]) == 1, "b was known, three texts are new"
+    assert sorted(again[0].values(), key=str) == [2, 5, None]
+    assert first is None or first == again
+    assert index.files().count() == index.rows().count() == 5, "nothing is there twice"
+    later = stays(index.deduplicate(documents(spark, BATCH, 2), 2))
+    assert later[0] == {} and len(later[1]) == 4
+
+
+def test_index_refuses_another_number_of_buckets(spark):
+    path = fresh_path(spark, "index")
+    digest_index.DigestIndex(spark, path, buckets=4)
+    with pytest.raises(ValueError, match="4 buckets"):
+        digest_index.DigestIndex(spark, path, buckets=7)
+    with pytest.raises(TypeError):
+        digest_index.DigestIndex(spark, path, buckets=4).deduplicate(
+            documents(spark, BATCH, 2))
+
+
+# -- columns of the user -------------------------------------------------------------------
+
+
+CLASHING = ("key", "range", "h", "nth", "ends", "group_bytes", "rows_before", "size",
+            "text_crc32", "shard", "slot", "carried", "c0", "part", "a.b")
+
+
+def test_shards_keep_columns_of_any_name(spark, tmp_path):
+    rows = [(i, prose(i, 9), *(f"{name}{i}" for name in CLASHING)) for i in range(60)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", *CLASHING]).withColumn(
+        "doc_id", F.col("doc_id").cast("long"))
+    got = splitters.shard(docs, 3, carry=("text", *CLASHING))
+    names = [f"{n}_" if n in splitters.RESULT else n for n in CLASHING]
+    assert got.columns == [*splitters.RESULT, "text", *names]
+    found = {r[0]: tuple(r)[5:] for r in got.collect()}
+    assert found == {r[0]: r[1:] for r in rows}
+    assert {r["size"] for r in got.collect()} == {len(r[1].encode()) + 8 for r in rows}
+    splitters.write_shards(docs, 3, str(tmp_path / "shards"))
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert set(back.columns) == {*splitters.RESULT, "text", *names} and back.count() == 60
+    empty = splitters.shard(docs.limit(0), 3, carry=("text", *CLASHING))
+    assert empty.columns == got.columns and empty.count() == 0
+
+
+def test_token_files_of_another_call_stay(spark, tmp_path):
+    folder = str(tmp_path / "tokens")
+    first = token_files.write_token_files(
+        documents(spark, [(i, prose(i, 30)) for i in range(9)], 2), folder, BPE, 50_257)
+    before = sorted(map(tuple, token_files.read_documents(first, folder).collect()))
+    second = token_files.write_token_files(
+        documents(spark, [(50, "other")], 1), folder, BPE, 50_257)
+    assert token_files.read_documents(second, folder).count() == 1
+    assert sorted(map(tuple, token_files.read_documents(first, folder).collect())) == before
