@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +33,20 @@ def checked_broadcast(frame: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame
     return F.broadcast(frame) if frame.count() <= rows else frame
 
 
+def share(spark: SparkSession, value):
+    """Broadcasts an object of any class of ours; `opened` gives it to a task. It goes as
+    bytes with its class, since workers need not have this package."""
+    return spark.sparkContext.broadcast({"pickled": cloudpickle.dumps(value)})
+
+
+def opened(shared):
+    """The shared object: one for all tasks of a worker."""
+    state = shared.value
+    if "value" not in state:
+        state["value"] = cloudpickle.loads(state["pickled"])
+    return state["value"]
+
+
 def crc32_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo; NULL for a NULL id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % divisor
@@ -62,3 +79,7 @@ def unused(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+# Workers need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

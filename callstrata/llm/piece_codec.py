@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from callstrata.llm.common import opened, share
 from pyspark.sql import types as T
 
 MARK = "▁"
@@ -209,10 +211,10 @@ def encode(docs: DataFrame, codec: PieceCodec, check: bool = False) -> DataFrame
     names give way."""
     added = ["ids", *(["round_trip"] if check else [])]
     kept = [c for c in docs.columns if c.lower() not in ("text", *added)]
-    shared = docs.sparkSession.sparkContext.broadcast(codec)
+    shared = share(docs.sparkSession, codec)
 
     def run(batches):
-        codec = shared.value
+        codec = opened(shared)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for first in range(0, len(texts), 500):
@@ -241,13 +243,13 @@ def encode(docs: DataFrame, codec: PieceCodec, check: bool = False) -> DataFrame
 def decode(encoded: DataFrame, codec: PieceCodec) -> DataFrame:
     """All columns of `encoded` but `ids`, and text."""
     kept = [c for c in encoded.columns if c not in ("ids", "text")]
-    shared = encoded.sparkSession.sparkContext.broadcast(codec)
+    shared = share(encoded.sparkSession, codec)
 
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in kept),
-                 pa.array([None if i is None else shared.value.decode(i)
+                 pa.array([None if i is None else opened(shared).decode(i)
                            for i in batch.column("ids").to_pylist()], pa.string())],
                 names=[*kept, "text"])
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callstrata.llm.common import bounded_sample, crc32_remainder
+from callstrata.llm.common import bounded_sample, crc32_remainder, opened, share
 
 #: Labelled rows to learn from.
 SAMPLE = 4000
@@ -151,11 +151,11 @@ class WordScores(dict):
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """All columns of `docs` but `text`, and score."""
     weights, bias = model
-    shared = docs.sparkSession.sparkContext.broadcast(WordScores(weights))
+    shared = share(docs.sparkSession, WordScores(weights))
     kept = [c for c in docs.columns if c != "text"]
 
     def run(batches):
-        known = shared.value
+        known = opened(shared)
         weight_again = float(known.weights[AGAIN])
         for batch in batches:
             scores = []
