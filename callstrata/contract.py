@@ -56,7 +56,7 @@ REDELIVERY_HORIZON_DAYS = 18
 HOT_TIME_ZONE = "Asia/Kolkata"
 
 # ---------------------------------------------------------------------------
-# Schemas, as Spark DDL
+# Fixed values, too: names and order of fields, as Spark DDL, and which are optional.
 # ---------------------------------------------------------------------------
 
 
@@ -129,7 +129,9 @@ AUDIT_SCHEMA = """
         LegalHold: STRUCT<Status: STRING>>
 """
 
-# Columns our tables add for partitioning and for picking the last copy.
+# ---------------------------------------------------------------------------
+# Our own: columns that our tables add for partitioning and for picking the last copy.
+# ---------------------------------------------------------------------------
 HOT_TABLE_SCHEMA = HOT_SCHEMA.rstrip() + """,
     batch_id BIGINT, write_id STRING, ist_month STRING, ist_day STRING
 """

@@ -33,9 +33,18 @@ def rejected_audit(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    return parse_audit(spark.read.text(path))
+def read_audit(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Audit records below a path, and the lines that are none with their numbers."""
+    lines = spark.read.text(path)
+    return parse_audit(lines), rejected_audit(lines)
 
 
 def stream_audit(spark: SparkSession, path: str) -> DataFrame:
+    """Audit records of newly landed files. `stream_audit_rejects` has the other lines."""
     return parse_audit(spark.readStream.text(path))
+
+
+def stream_audit_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of newly landed files that are no audit records, with their numbers so far;
+    for update or complete mode."""
+    return rejected_audit(spark.readStream.text(path))

@@ -313,3 +313,22 @@ def test_audit_lines_that_do_not_parse_are_kept(spark):
         [('{"eventName":"GetObject"}',), ("{ broken",), ("{ broken",)], "value string")
     assert parse_audit(lines).count() == 1
     assert [tuple(r) for r in rejected_audit(lines).collect()] == [("{ broken", 2)]
+
+
+def test_readers_of_audit_records_count_what_they_leave_out(spark, tmp_path):
+    from callstrata.sources.audit import read_audit, stream_audit, stream_audit_rejects
+
+    folder = str(tmp_path / "audit")
+    land(spark, folder, "1", '{"eventName":"GetObject"}', "{ broken", '{"eventName":null}')
+    land(spark, folder, "2", "{ broken", '{"eventName":"HeadObject"}')
+    records, rejects = read_audit(spark, folder)
+    assert records.count() == 2
+    expected = {("{ broken", 2), ('{"eventName":null}', 1)}
+    assert {tuple(r) for r in rejects.collect()} == expected
+    found = []
+    stream_audit_rejects(spark, folder).writeStream.outputMode("complete").foreachBatch(
+        lambda batch, _: found.append({tuple(r) for r in batch.collect()})).option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(
+        ).awaitTermination()
+    assert found[-1] == expected
+    assert stream_audit(spark, folder).isStreaming
