@@ -1,12 +1,14 @@
-"""Rows without ids, ids with several texts, retries, and clashing columns."""
+"""Rows without ids, ids with several texts, retries, clashing columns, unknown secrets."""
 
 import random
+import uuid
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from callstrata.llm import digest_index, repeat_trees, splitters, token_files
+from callstrata.llm import digest_index, repeat_trees, secrets, splitters, token_files
 from callstrata.session import fresh_path
 
 from .conftest import prose
@@ -149,3 +151,63 @@ def test_token_files_of_another_call_stay(spark, tmp_path):
         documents(spark, [(50, "other")], 1), folder, BPE, 50_257)
     assert token_files.read_documents(second, folder).count() == 1
     assert sorted(map(tuple, token_files.read_documents(first, folder).collect())) == before
+
+
+# -- secrets of looks that no base pattern knows ---------------------------------------------
+
+
+def test_network_finds_looks_that_no_base_pattern_knows(spark):
+    draw = random.Random(8)
+    rows = []
+    for i in range(900):
+        text = prose(i, 30)
+        if i % 9 == 0:
+            text += " token = " + "".join(draw.choice("0123456789abcdef") for _ in range(40))
+        elif i % 9 == 1:
+            text += " " + "".join(draw.choice("0123456789") for _ in range(16)) + " " + prose(i, 4)
+        elif i % 9 == 2:
+            text += " /" + "/".join(prose(i + 5000, 6).split()) + " " + prose(i, 4)
+        rows.append((i, text))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    network = secrets.fit(docs)
+    assert 0.3 < network.threshold < 1 and network.precision > 0.95
+
+    digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    looks = {"upper hex": (digits + "ABCDEF", 40), "base64": (digits + lower + lower.upper() + "+/", 40),
+             "mixed": (digits + lower + lower.upper(), 36), "lower": (digits + lower, 32)}
+    planted = [(name, "".join(draw.choice(a) for _ in range(n)))
+               for name, (a, n) in looks.items() for _ in range(60)]
+    texts = [(k, f"{prose(k, 7)} {value} {prose(k + 1, 5)}") for k, (_, value) in enumerate(planted)]
+    found = secrets.find_secrets(spark.createDataFrame(texts, "doc_id long, text string"), network)
+    hits = Counter()
+    for row in found.collect():
+        name, value = planted[row.doc_id]
+        text = dict(texts)[row.doc_id]
+        if any(s.kind == "model" and value in text[s.start:s.end] for s in row.spans):
+            hits[name] += 1
+    assert all(hits[name] >= 54 for name in looks), hits
+
+    harmless = [(k, f"{prose(k, 5)} {value} {prose(k, 5)}") for k, value in enumerate(
+        [str(uuid.UUID(int=draw.getrandbits(128), version=4)) for _ in range(40)]
+        + ["".join(draw.choice(digits) for _ in range(16)) for _ in range(40)]
+        + [".".join(prose(9000 + k, 5).split()) + ".example.com" for k in range(40)]
+        + ["".join(prose(8000 + k, 7).split()) for k in range(40)])]
+    wrong = secrets.find_secrets(
+        spark.createDataFrame(harmless, "doc_id long, text string"), network).filter(
+        "exists(spans, s -> s.kind = 'model')").count()
+    assert wrong <= 8
+    again = secrets.fit(docs.limit(300))
+    assert abs(again.threshold - network.threshold) < 0.5
+
+
+def test_varied_findings_are_made_of_what_is_there():
+    text = "erste worte hier 04dbebab91ab85687d33eeaaf9ac699e dann 1234567890123456 noch"
+    seen = [secrets.window(text, *c) for c in secrets.scan(text)[1]]
+    windows, labels = secrets.varied(seen, np.array([1, 0]), False, 50, 1)
+    assert labels.sum() == 50 and len(windows) == 100
+    assert {len(w) for w in windows} == {secrets.WIDTH}
+    assert (windows, labels.tolist()) == tuple(
+        x if isinstance(x, list) else x.tolist()
+        for x in secrets.varied(seen, np.array([1, 0]), False, 50, 1)), "the same each time"
+    held = secrets.varied(seen, np.array([1, 0]), True, 50, 1)[0]
+    assert any(c in w for w in held[:50] for c in (b"-", b"_"))
