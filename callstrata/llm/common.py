@@ -43,7 +43,7 @@ def opened(shared):
     """The shared object: one for all tasks of a worker."""
     state = shared.value
     if "value" not in state:
-        state["value"] = cloudpickle.loads(state["pickled"])
+        state["value"] = cloudpickle.loads(state.pop("pickled"))
     return state["value"]
 
 
