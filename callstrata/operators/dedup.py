@@ -53,10 +53,13 @@ def not_yet_cold(messages: DataFrame, cold_keys: DataFrame,
     `cold_keys` should hold only the days the messages touch, and is usually far
     larger than a batch. When the batch is known to be small its keys are
     broadcast and the archive's keys are only streamed past them. Otherwise both
-    sides are shuffled on the key.
+    sides are shuffled on the key, whatever Spark takes their size to be: keys are a
+    tenth as large in a file as they are in memory.
     """
     wanted = messages.select("s3_request_key").distinct()
-    if message_count is not None and message_count <= MAX_BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
+    few = message_count is not None and message_count <= MAX_BROADCAST_KEYS
+    wanted = F.broadcast(wanted) if few else wanted.hint("merge")
     found = cold_keys.select("s3_request_key").join(wanted, "s3_request_key", "left_semi")
+    if not few:
+        found = found.hint("merge")
     return one_per_batch(messages).join(found, "s3_request_key", "left_anti")
