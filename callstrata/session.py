@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,6 +35,15 @@ LARGE_STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+# Messages and their rows are many times larger in memory than as files or shuffled, so
+# tasks that take the usual number of bytes would sort and keep gigabytes, and spill.
+BOUNDED_BYTES = {
+    "spark.sql.files.maxPartitionBytes": 8 << 20,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 << 20,
+}
+#: Wide rows that a task of a shuffle may have before others share them.
+BOUNDED_ROWS = 50_000
+
 # Temporary folders of local sessions without a shared folder, by application.
 _LOCAL_FOLDERS: dict[str, str] = {}
 
@@ -67,6 +78,42 @@ def keep_large_state(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Sessions with bounded tasks: how many users, and the settings they had before.
+_BOUNDED: dict[int, tuple[int, dict[str, str | None]]] = {}
+_BOUNDED_LOCK = threading.Lock()
+
+
+@contextmanager
+def bounded_tasks(spark: SparkSession, rows: int | None = None):
+    """Within, tasks take few bytes of files and of shuffles, and shuffles of `rows` wide
+    rows start with enough partitions; settings that are lower already stay. Users may
+    nest or overlap: the last one to leave brings back what was set before."""
+    key = spark._jsparkSession.hashCode()
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with _BOUNDED_LOCK:
+        users, before = _BOUNDED.get(key) or (0, {
+            name: spark.conf.get(name, None) for name in (*BOUNDED_BYTES, initial)})
+        _BOUNDED[key] = users + 1, before
+        for name, size in BOUNDED_BYTES.items():
+            if spark.conf.get(name, None) is None or to_bytes(spark.conf.get(name)) > size:
+                spark.conf.set(name, str(size))
+        parts = int(spark.conf.get(initial, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+        if rows is not None and rows > parts * BOUNDED_ROWS:
+            spark.conf.set(initial, str(-(-rows // BOUNDED_ROWS)))
+    try:
+        yield
+    finally:
+        with _BOUNDED_LOCK:
+            users, before = _BOUNDED[key]
+            if users > 1:
+                _BOUNDED[key] = users - 1, before
+            else:
+                del _BOUNDED[key]
+                for name, value in before.items():
+                    spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by spark.checkpoint.dir.
 

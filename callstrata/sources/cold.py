@@ -78,7 +78,8 @@ class ColdArchive:
             f"s3_request_key STRING, s3_response_key STRING, hot_reason STRING, "
             f"{contract.COLD_SCAN_SCHEMA}",
             PARTITIONS, file_format="json", sort_by=("created_at",),
-            options={"maxRecordsPerFile": str(ROWS_PER_FILE), "ignoreNullFields": "false"},
+            options={"compression": "gzip", "maxRecordsPerFile": str(ROWS_PER_FILE),
+                     "ignoreNullFields": "false"},
             read_options={"mode": "DROPMALFORMED"})
         self.index = KeyIndex(spark, f"{path}/index")
         self.environment = environment

@@ -26,18 +26,20 @@ def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
 
 def write_partitions(rows: DataFrame, path: str, partition_by: Sequence[str], *,
                      sort_by: Sequence[str] = (), file_format: str = "parquet",
-                     options: dict[str, str] | None = None) -> None:
+                     options: dict[str, str] | None = None, rebalance: bool = True) -> None:
     """Write rows, replacing the partitions they fall into and no others.
 
     Writing the same rows again gives the same table, so a repeated batch is
     safe. Rebalancing by partition makes few files per partition, and adaptive
     execution splits a partition that is much larger than the rest. The sort
     starts with the partition columns, as the writer needs it, and then puts
-    rows in order so that row groups have narrow ranges.
+    rows in order so that row groups have narrow ranges. Where each task has
+    many rows of few partitions, `rebalance` can be left out.
     """
+    if rebalance:
+        rows = rows.hint("rebalance", *[F.col(name) for name in partition_by])
     (
-        rows.hint("rebalance", *[F.col(name) for name in partition_by])
-        .sortWithinPartitions(*partition_by, *sort_by)
+        rows.sortWithinPartitions(*partition_by, *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**(options or {}))

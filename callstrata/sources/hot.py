@@ -46,9 +46,10 @@ class HotTable:
     # -- writing --
 
     def write(self, rows: DataFrame, write_id: str, batch_id: int = 0,
-              size: int | None = None) -> None:
+              size: int | None = None, rebalance: bool = True) -> None:
         """Append a batch; writing the same batch again replaces it. Its `size` in rows,
-        if known, bounds the bloom filters: those of a small batch are small."""
+        if known, bounds the bloom filters: those of a small batch are small. Without
+        `rebalance` each task writes its own files, for tasks with many rows of few days."""
         if "batch_id" not in rows.columns:
             rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         rows = rows.select(*contract.HOT_COLUMNS, F.col("batch_id").cast("bigint")).withColumns({
@@ -59,7 +60,7 @@ class HotTable:
         options = None
         if size is not None:
             options = parquet_options(min(self.distinct_per_group, max(size, 1)))
-        self.table.write(rows, write_id, options)
+        self.table.write(rows, write_id, options, rebalance)
 
     # -- reading --
 

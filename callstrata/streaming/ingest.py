@@ -15,6 +15,7 @@ from callstrata.operators.ingest import (
     DEFAULT_ENVIRONMENT, NOT_ARCHIVED, map_hot_row, parse_messages, quarantine_rows,
     skipped_versions, version_gate, with_cold_keys,
 )
+from callstrata.session import bounded_tasks
 from callstrata.sources.cold import ColdArchive
 from callstrata.sources.files import together, write_partitions
 from callstrata.sources.hot import HotTable
@@ -23,6 +24,10 @@ from callstrata.sources.quarantine import HOT_FAILED, Quarantine
 from callstrata.sources.rollups import RollupTable
 
 
+#: Rows of a day that make a file of their own.
+ROWS_PER_FILE = 10_000
+
+
 @dataclass
 class Archive:
     """All tables of one archive below one folder."""
@@ -63,7 +68,10 @@ class Archive:
         """
         if not re.fullmatch(r"[A-Za-z0-9._-]+", source):
             raise ValueError("a source is named by letters, digits, dots and dashes")
-        write_id = f"{source}-{batch_id:012d}"
+        with bounded_tasks(messages.sparkSession):
+            self._ingest(messages, batch_id, f"{source}-{batch_id:012d}")
+
+    def _ingest(self, messages: DataFrame, batch_id: int, write_id: str) -> None:
         parsed = with_cold_keys(parse_messages(messages)).persist()
         try:
             # One row per calendar day and reason: which days to look up, and
@@ -92,26 +100,31 @@ class Archive:
             if "unsupported_version" in reasons:
                 first.append(write_skipped)
             if first:
-                together(messages.sparkSession, *first)
+                with bounded_tasks(messages.sparkSession, sum(row["count"] for row in counts)):
+                    together(messages.sparkSession, *first)
             if None in reasons:
                 size = sum(row["count"] for row in counts if row.reason is None)
+                days = len({row.cold_day for row in counts if row.reason is None}) + 1
+                # tasks with rows for whole files need not exchange them
+                spread = size < ROWS_PER_FILE * days * parsed.rdd.getNumPartitions()
                 if self.park_hot_failures:
-                    if self._write_hot(good, write_id, batch_id, size):
+                    if self._write_hot(good, write_id, batch_id, size, spread):
                         self.rollup.add(counted(good), write_id)
                 else:
                     together(
                         messages.sparkSession,
-                        lambda: self._write_hot(good, write_id, batch_id, size),
+                        lambda: self._write_hot(good, write_id, batch_id, size, spread),
                         lambda: self.rollup.add(counted(good), write_id))
         finally:
             parsed.unpersist()
 
-
-    def _write_hot(self, good: DataFrame, write_id: str, batch_id: int, size: int) -> bool:
+    def _write_hot(self, good: DataFrame, write_id: str, batch_id: int, size: int,
+                   spread: bool) -> bool:
         """True once the rows are in. If they cannot be written, and failures are to be
         parked, the messages wait in quarantine: cold has them, and the batch goes on."""
         try:
-            self.hot.write(map_hot_row(good, self.environment), write_id, batch_id, size)
+            self.hot.write(map_hot_row(good, self.environment), write_id, batch_id, size,
+                           rebalance=spread)
         except Exception:
             if not self.park_hot_failures:
                 raise
@@ -158,4 +171,5 @@ def start_ingest(messages: DataFrame, archive: Archive, checkpoint: str, *,
 
     writer = messages.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    return writer.trigger(**trigger).start()
+    with bounded_tasks(messages.sparkSession):  # the stream keeps the settings of its start
+        return writer.trigger(**trigger).start()

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from callstrata import contract
 from callstrata.operators.dedup import latest_copy
 from callstrata.operators.ingest import hot_rejection
-from callstrata.session import fresh_path
+from callstrata.session import bounded_tasks, fresh_path
 from callstrata.sources.cold import BROADCAST_BYTES
 from callstrata.sources.files import drop_folder
 from callstrata.sources.quarantine import archived_rows
@@ -95,7 +95,8 @@ def rebuild_hot(archive: Archive, first_day: str, last_day: str, vendor_id: str
     if run is None:
         path = fresh_path(spark, "missing-events")
         days = _days(first_day, last_day)
-        missing_events(archive, days, vendor_id).write.parquet(path)
+        with bounded_tasks(spark):
+            missing_events(archive, days, vendor_id).write.parquet(path)
         size = spark.read.parquet(path).agg(
             F.count("*").alias("n"),
             F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()

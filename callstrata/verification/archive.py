@@ -72,7 +72,7 @@ def cold_archive(spark: SparkSession, sf_dir: str) -> ColdArchive:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _COLD:
         archive = ColdArchive(spark, fresh_path(spark, "cold"))
-        events = archived_events(spark, sf_dir).persist()
+        events = archived_events(spark, sf_dir).drop("body").persist()
         archive.write(events, "batch-0")
         events.unpersist()
         _COLD[key] = archive

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from callstrata import contract
-from callstrata.session import prepare
+from callstrata.session import fresh_path, prepare
+from callstrata.sources.files import list_files
 
 # Words that differ between the two SQL dialects.
 _SPARK = {
@@ -117,11 +118,39 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Events of one task. Their file is small, what is made of them is not: a call event is
+#: some twenty times larger.
+ROWS_PER_TASK = 50_000
+
+_ROWS: dict[tuple[str, str], int] = {}
+
+
+def tasks(spark: SparkSession, sf_dir: str) -> int:
+    """How many tasks make the call events of a table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _ROWS:
+        _ROWS[key] = table(spark, sf_dir, "events").count()
+    return max(1, -(-_ROWS[key] // ROWS_PER_TASK))
+
+
+def landed(spark: SparkSession, rows: DataFrame, file_format: str, least: int,
+           **options: str) -> tuple[str, int]:
+    """Rows written as files, as many as tasks made them but `least`, and half their
+    number: that many make one of two micro-batches."""
+    path = fresh_path(spark, "landing")
+    if rows.rdd.getNumPartitions() < least:
+        rows = rows.repartition(least)
+    rows.write.options(**options).format(file_format).save(path)
+    return path, max(1, -(-len(list_files(spark, path)) // 2))
+
+
 def call_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every call event with its raw payloads, as producers sent it."""
     prepare(spark)
-    path = f"parquet.`{sf_dir.rstrip('/')}/events.parquet`"
-    return spark.sql(SPARK_CALL_EVENTS.replace("FROM events)", f"FROM {path})"))
+    events, n = f"parquet.`{sf_dir.rstrip('/')}/events.parquet`", tasks(spark, sf_dir)
+    if n > 1:  # the narrow events are dealt out before they grow
+        events = f"(SELECT /*+ REPARTITION({n}, event_id) */ * FROM {events})"
+    return spark.sql(SPARK_CALL_EVENTS.replace("FROM events)", f"FROM {events})"))
 
 
 def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from callstrata.verification.messages import hot_row_select, messages, over_wire
 from callstrata.verification.panels import PANEL_SQL, over_hot
 from callstrata.verification.registry import Registry
 from callstrata.verification.rollups import ROLLUP_SQL
-from callstrata.verification.sample import hot_events
+from callstrata.verification.sample import hot_events, landed
 
 registry = Registry()
 QUERIES, SQL = registry.queries, registry.sql
@@ -103,7 +103,7 @@ def merged_cold(spark: SparkSession, sf_dir: str) -> ColdArchive:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MERGED:
         archive = ColdArchive(spark, fresh_path(spark, "cold"))
-        events = archived_events(spark, sf_dir).persist()
+        events = archived_events(spark, sf_dir).drop("body").persist()
         for n in range(WRITES):
             archive.write(events.where(
                 F.pmod(F.xxhash64("s3_request_key"), F.lit(WRITES)) == n), f"batch-{n}")
@@ -145,11 +145,10 @@ def streamed(spark: SparkSession, sf_dir: str) -> Archive:
     """Messages with the time of their receipt, through streaming ingest in batches."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STREAMED:
-        landing = fresh_path(spark, "landing")
-        messages(spark, sf_dir).drop("delivery").repartition(4, "body").write.parquet(landing)
+        landing, half = landed(spark, messages(spark, sf_dir).drop("delivery"), "parquet", 4)
         archive = Archive.at(spark, fresh_path(spark, "archive"))
         stream = (spark.readStream.schema("body string, received_at timestamp")
-                  .option("maxFilesPerTrigger", 2).parquet(landing))
+                  .option("maxFilesPerTrigger", half).parquet(landing))
         start_ingest(stream, archive, fresh_path(spark, "checkpoint"), every=None
                      ).awaitTermination()
         _STREAMED[key] = archive

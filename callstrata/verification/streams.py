@@ -24,7 +24,7 @@ from callstrata.verification.messages import hot_row_select, messages, over_wire
 from callstrata.verification.panels import over_hot
 from callstrata.verification.registry import Registry
 from callstrata.verification.rollups import ROLLUP_SQL
-from callstrata.verification.sample import hot_events
+from callstrata.verification.sample import hot_events, landed, tasks
 
 registry = Registry()
 QUERIES, SQL = registry.queries, registry.sql
@@ -50,22 +50,21 @@ def streamed_archive(spark: SparkSession, sf_dir: str) -> Archive:
 
 def _stream_into_archive(spark: SparkSession, sf_dir: str) -> Archive:
     """Bodies land in files and go through streaming ingest."""
-    landing = fresh_path(spark, "landing")
-    messages(spark, sf_dir).select("body").repartition(FILES).write.text(landing)
+    landing, half = landed(spark, messages(spark, sf_dir).select("body"), "text", FILES,
+                           compression="gzip")
     archive = Archive.at(spark, fresh_path(spark, "archive"))
-    finish(start_ingest(stream_messages(spark, landing, max_files=FILES // 2), archive,
+    finish(start_ingest(stream_messages(spark, landing, max_files=half), archive,
                         fresh_path(spark, "checkpoint"), every=None))
     return archive
 
 
 def hot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hot rows as a stream of files."""
-    path = fresh_path(spark, "rows")
     rows = hot_events(spark, sf_dir).select(*contract.HOT_COLUMNS)
-    rows.repartition(FILES).write.parquet(path)
+    path, half = landed(spark, rows, "parquet", FILES)
     return (
         spark.readStream.schema(contract.HOT_SCHEMA)
-        .option("maxFilesPerTrigger", FILES // 2)
+        .option("maxFilesPerTrigger", half)
         .parquet(path)
     )
 
@@ -127,8 +126,7 @@ def rollup_of_stream(spark, sf_dir):
 def batch_idempotent(spark, sf_dir):
     """The same batch ingested twice leaves one set of rows."""
     archive = Archive.at(spark, fresh_path(spark, "archive"))
-    landing = fresh_path(spark, "landing")
-    messages(spark, sf_dir).drop("delivery").repartition(FILES).write.parquet(landing)
+    landing, _ = landed(spark, messages(spark, sf_dir).drop("delivery"), "parquet", FILES)
     batch = spark.read.parquet(landing)
     for _ in range(2):
         archive.ingest(batch, 7, source="messages")
@@ -212,7 +210,7 @@ def stream_dedup(spark, sf_dir):
 def audit_stream(spark, sf_dir):
     """Audit records as a stream of files."""
     landing = fresh_path(spark, "audit")
-    audit_log(spark, sf_dir).repartition(FILES).write.text(landing)
+    audit_log(spark, sf_dir).repartition(max(FILES, tasks(spark, sf_dir))).write.text(landing)
     path = fresh_path(spark, "parsed-audit")
     finish(
         stream_audit(spark, landing).writeStream.format("parquet")
@@ -235,13 +233,15 @@ def alert_stream_held(spark, sf_dir):
     all others, moves the watermark past them."""
     path = fresh_path(spark, "rows")
     rows = hot_events(spark, sf_dir).select("created_at", "vendor_id", "status", "latency_ms")
-    rows.repartition(FILES, F.xxhash64("created_at")).write.parquet(path)
+    files = max(FILES, tasks(spark, sf_dir))
+    rows.repartition(files, F.xxhash64("created_at")).write.parquet(path)
     spark.createDataFrame(
         [("2030-01-01 00:00:00", "synoriq", "SUCCESS", 1)],
         "created_at string, vendor_id string, status string, latency_ms bigint").withColumn(
         "created_at", F.col("created_at").cast("timestamp")).coalesce(1).write.mode(
         "append").parquet(path)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
+    stream = spark.readStream.schema(rows.schema).option(
+        "maxFilesPerTrigger", files // 2).parquet(path)
     return run_held(spark, stream)
 
 

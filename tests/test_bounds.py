@@ -4,7 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from callstrata.operators.dedup import MAX_BROADCAST_KEYS, not_yet_cold
-from callstrata.session import fresh_path
+from callstrata.session import bounded_tasks, fresh_path
+from callstrata.sources.cold import ColdArchive
+from callstrata.verification import sample, streams
+from callstrata.verification.archive import archived_events
 
 
 def plan_of(frame):
@@ -20,3 +23,67 @@ def test_keys_of_no_small_number_are_not_broadcast(spark, size):
     new = not_yet_cold(batch, spark.read.parquet(path), size)
     assert "BroadcastHashJoin" not in plan_of(new)
     assert [tuple(row) for row in new.collect()] == [("b/2", 2)]
+
+
+@pytest.fixture(scope="module")
+def larger(spark):
+    """The events of five tasks in one file, as one split."""
+    folder = fresh_path(spark, "larger")
+    rows = 5 * sample.ROWS_PER_TASK - 10
+    spark.range(rows).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01 00:00:00").cast("timestamp").alias("ts"),
+        (F.col("id") % 100).alias("user_id"), F.lit("view").alias("event_type"),
+        F.lit(1.5).alias("value")).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_call_events_are_made_by_tasks_of_few_events(spark, larger):
+    most = (sample.call_events(spark, larger).groupBy(F.spark_partition_id()).count()
+            .agg(F.max("count"), F.count("*")).first())
+    assert most[0] < 2 * sample.ROWS_PER_TASK and most[1] == 5
+
+
+def test_streams_read_files_of_few_events(spark, larger):
+    rows = sample.hot_events(spark, larger).select("request_id", "created_at")
+    path, half = sample.landed(spark, rows, "parquet", streams.FILES)
+    files = spark.read.parquet(path).groupBy(F.col("_metadata.file_path")).count().collect()
+    assert max(row["count"] for row in files) < 2 * sample.ROWS_PER_TASK
+    assert (len(files), half) == (5, 3)
+
+
+def test_landed_files_make_two_batches_of_a_small_table(spark, sf_dir):
+    rows = sample.hot_events(spark, sf_dir).select("request_id")
+    path, half = sample.landed(spark, rows, "parquet", streams.FILES)
+    assert half == streams.FILES // 2
+    assert spark.read.parquet(path).count() == rows.count()
+
+
+def test_metadata_is_compressed_and_whole(spark, sf_dir):
+    archive = ColdArchive(spark, fresh_path(spark, "cold"))
+    events = archived_events(spark, sf_dir)
+    archive.write(events, "batch-0")
+    assert all(file.path.endswith(".gz") for file in archive.meta.files())
+    assert archive.metadata().count() == events.count()
+    assert archive.malformed().count() == 0
+
+
+def test_bounds_nest_and_end(spark):
+    names = ("spark.sql.files.maxPartitionBytes",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+             "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+    def seen():
+        return [spark.conf.get(name, None) for name in names]
+
+    before = seen()
+    with bounded_tasks(spark):
+        with bounded_tasks(spark, 10_000_000):
+            assert seen() == [str(8 << 20), str(32 << 20), "200"]
+        assert seen()[:2] == [str(8 << 20), str(32 << 20)]
+    assert seen() == before
+    spark.conf.set(names[0], "1m")
+    try:
+        with bounded_tasks(spark):
+            assert spark.conf.get(names[0]) == "1m"
+    finally:
+        spark.conf.unset(names[0])
