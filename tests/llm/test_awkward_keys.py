@@ -5,6 +5,7 @@ import uuid
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,6 +201,40 @@ def test_network_finds_looks_that_no_base_pattern_knows(spark):
     assert abs(again.threshold - network.threshold) < 0.5
 
 
+def test_network_learns_from_every_finding(spark, monkeypatch):
+    rows = [(i, f"{prose(i, 5)} {'token = ' if i % 3 == 0 else ''}{10 ** 19 + i} {prose(i, 2)}")
+            for i in range(900)]
+    known = secrets._labelled_findings(
+        spark.createDataFrame(rows, "doc_id long, text string")).distinct()
+    assert known.count() == 900
+    monkeypatch.setattr(secrets, "VARIED", 30)
+    monkeypatch.setattr(secrets, "EPOCHS", 2)
+    seen = []
+    monkeypatch.setattr(secrets, "_averaged", lambda blocks, state, epoch: seen.append(
+        blocks.applyInArrow(lambda block: pa.table({"n": [block.num_rows]}), "n long").collect())
+        or state)
+    secrets._fitted(known, 50, 0.98)
+    held = known.filter(f"pmod(xxhash64(key, {secrets.SEED}), 4) = 0").count()
+    assert len(seen) == 2 and sum(r.n for r in seen[0]) == 900 - held
+    assert len(seen[0]) > 3 and max(r.n for r in seen[0]) < 300
+
+
+def test_blocks_are_averaged_by_size_and_the_same_each_time(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "VARIED", 20)
+    rows = [(i, f"{prose(i, 5)} {'token = ' if i % 3 == 0 else ''}{10 ** 19 + i}")
+            for i in range(200)]
+    known = secrets._labelled_findings(spark.createDataFrame(
+        rows, "doc_id long, text string")).selectExpr(
+        "*", "CAST(IF(key < 40, 0, 1) AS INT) AS block")
+    state = secrets.Network().state()
+    tables = [known.filter(f"block = {b}").toArrow() for b in (0, 1)]
+    ends = [secrets.Network().learn_once(*secrets._examples(t, False, 20), state, 0)
+            for t in tables]
+    for _ in range(2):
+        got = secrets._averaged(known.repartition(2, "block").groupBy("block"), state, 0)
+        assert np.allclose(got, (ends[0] * 40 + ends[1] * 160) / 200, atol=1e-12)
+
+
 def test_varied_findings_are_made_of_what_is_there():
     text = "erste worte hier 04dbebab91ab85687d33eeaaf9ac699e dann 1234567890123456 noch"
     seen = [secrets.window(text, *c) for c in secrets.scan(text)[1]]
