@@ -205,6 +205,13 @@ class PieceCodec:
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
 
+def in_parts(column, size: int = 500):
+    """The values of an Arrow column, a few at a time, with the place of the first: whole
+    texts of one part only are in memory twice."""
+    for first in range(0, len(column), size):
+        yield first, column.slice(first, size).to_pylist()
+
+
 def encode(docs: DataFrame, codec: PieceCodec, check: bool = False) -> DataFrame:
     """All columns of `docs` but `text`, and ids; with `check` also
     round_trip: whether decoding these ids gives the text. Columns of `docs` with these
@@ -216,9 +223,7 @@ def encode(docs: DataFrame, codec: PieceCodec, check: bool = False) -> DataFrame
     def run(batches):
         codec = opened(shared)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for first in range(0, len(texts), 500):
-                part = texts[first:first + 500]
+            for first, part in in_parts(batch.column("text")):
                 runs = [b"" if t is None else codec.encode(t) for t in part]
                 ends = np.cumsum([0] + [len(r) // 4 for r in runs])
                 values = np.frombuffer(b"".join(runs), "<i4")

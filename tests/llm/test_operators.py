@@ -253,6 +253,31 @@ def test_recall_alone_sets_the_threshold():
     assert network.threshold < 0.5 and network.precision == 0.8
 
 
+def test_pieces_take_texts_in_parts():
+    import pyarrow as pa
+
+    sizes = []
+
+    class Column:
+        def __init__(self, values):
+            self.values = values
+
+        def __len__(self):
+            return len(self.values)
+
+        def slice(self, first, size):
+            return Column(self.values.slice(first, size))
+
+        def to_pylist(self):
+            sizes.append(len(self.values))
+            return self.values.to_pylist()
+
+    texts = [None, *map(str, range(1, 1203))]
+    parts = list(piece_codec.in_parts(Column(pa.array(texts))))
+    assert [first for first, _ in parts] == [0, 500, 1000] and max(sizes) == 500
+    assert [t for _, part in parts for t in part] == texts
+
+
 def test_pieces_equal_the_library_and_decode(spark, awkward, none):
     from sentencepiece import SentencePieceProcessor
     from sentencepiece import sentencepiece_model_pb2 as proto
