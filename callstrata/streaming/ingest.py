@@ -155,7 +155,10 @@ def stream_identity(spark: SparkSession, checkpoint: str) -> str:
 
 def start_ingest(messages: DataFrame, archive: Archive, checkpoint: str, *,
                  every: str | None = "5 seconds") -> StreamingQuery:
-    """Run ingest on a stream of bodies; every=None handles what is there and ends."""
+    """Run ingest on a stream of bodies; every=None handles what is there and ends.
+
+    A stream of files splits them by the settings of the session that it was read in: keep
+    `bounded_tasks` around it while it works on large, compressed files."""
 
     if "received_at" not in messages.columns:
         # In a stream this is the time of the micro-batch, kept in its log, so a
@@ -171,5 +174,4 @@ def start_ingest(messages: DataFrame, archive: Archive, checkpoint: str, *,
 
     writer = messages.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
-    with bounded_tasks(messages.sparkSession):  # the stream keeps the settings of its start
-        return writer.trigger(**trigger).start()
+    return writer.trigger(**trigger).start()

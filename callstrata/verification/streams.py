@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from callstrata import contract
 from callstrata.operators.dedup import latest_copy
-from callstrata.session import LARGE_STATE_CONF, fresh_path, keep_large_state
+from callstrata.session import LARGE_STATE_CONF, bounded_tasks, fresh_path, keep_large_state
 from callstrata.sources.audit import stream_audit
 from callstrata.sources.rollups import RollupTable
 from callstrata.sources.wire import stream_messages
@@ -53,8 +53,9 @@ def _stream_into_archive(spark: SparkSession, sf_dir: str) -> Archive:
     landing, half = landed(spark, messages(spark, sf_dir).select("body"), "text", FILES,
                            compression="gzip")
     archive = Archive.at(spark, fresh_path(spark, "archive"))
-    finish(start_ingest(stream_messages(spark, landing, max_files=half), archive,
-                        fresh_path(spark, "checkpoint"), every=None))
+    with bounded_tasks(spark):
+        finish(start_ingest(stream_messages(spark, landing, max_files=half), archive,
+                            fresh_path(spark, "checkpoint"), every=None))
     return archive
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from callstrata.operators.dedup import MAX_BROADCAST_KEYS, not_yet_cold
 from callstrata.session import bounded_tasks, fresh_path
 from callstrata.sources.cold import ColdArchive
+from callstrata.streaming.ingest import Archive
 from callstrata.verification import sample, streams
 from callstrata.verification.archive import archived_events
 
@@ -87,3 +88,11 @@ def test_bounds_nest_and_end(spark):
             assert spark.conf.get(names[0]) == "1m"
     finally:
         spark.conf.unset(names[0])
+
+
+def test_streaming_ingest_takes_few_bytes_a_task(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Archive, "ingest", lambda self, messages, batch_id, *, source:
+                        seen.append(spark.conf.get("spark.sql.files.maxPartitionBytes")))
+    streams._stream_into_archive(spark, sf_dir)
+    assert seen == [str(8 << 20)] * 2
