@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+import threading
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of texts that go to a Python worker, or come back, at once: it holds them several
+#: times, and so does the executor. A batch by rows alone would be ten times larger.
+BATCH_BYTES = 2 << 20
+_BATCHES = "spark.sql.execution.arrow.maxBytesPerBatch"
+# Sessions with small batches: how many users, and the setting they had before.
+_SMALL: dict[int, tuple[int, str]] = {}
+_SMALL_LOCK = threading.Lock()
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Within, Arrow batches have about BATCH_BYTES at most; a lower setting stays. Users
+    may overlap: the last one to leave brings back what was set before."""
+    key = spark._jsparkSession.hashCode()
+    to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    with _SMALL_LOCK:
+        users, before = _SMALL.get(key) or (0, spark.conf.get(_BATCHES))
+        _SMALL[key] = users + 1, before
+        if not 0 < to_bytes(spark.conf.get(_BATCHES)) <= BATCH_BYTES:
+            spark.conf.set(_BATCHES, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        with _SMALL_LOCK:
+            users, before = _SMALL[key]
+            if users > 1:
+                _SMALL[key] = users - 1, before
+            else:
+                del _SMALL[key]
+                spark.conf.set(_BATCHES, before)
+
+
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame, stored in the shared folder and read again: it survives lost
     executors, and values such as row numbers stay as they are."""

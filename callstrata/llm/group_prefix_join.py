@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from callstrata.llm import word_hashes
-from callstrata.llm.common import checked_broadcast, written
+from callstrata.llm.common import checked_broadcast, small_batches, written
 from callstrata.llm.components import components
 
 SHINGLE = 5
@@ -101,14 +101,25 @@ def prefix_length(n: int) -> int:
     return n - -(-OVER * n // UNDER) + 1
 
 
+def often(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Those that occur OFTEN or more, with their numbers. Sorts `members` in place, so
+    that no second array of their size is made."""
+    members.sort()
+    last = max(len(members) - OFTEN + 1, 0)
+    found = np.unique(members[:last][members[:last] == members[len(members) - last:]])
+    return found, (np.searchsorted(members, found, "right")
+                   - np.searchsorted(members, found, "left"))
+
+
 def _describe(batches):
     """Set and size of each document; at the end, members often seen."""
     hashes = word_hashes.WordHashes()
     waiting, size, proposed = [], 0, []
 
     def count():
-        members, times = np.unique(np.concatenate(waiting), return_counts=True)
-        proposed.append((members[times >= OFTEN], times[times >= OFTEN]))
+        members = np.concatenate(waiting)
+        waiting.clear()
+        proposed.append(often(members))
 
     seen: set[int] = set()
     for batch in batches:
@@ -123,7 +134,7 @@ def _describe(batches):
                 size += len(members)
             if size >= CHUNK:
                 count()
-                waiting, size = [], 0
+                size = 0
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("text_hash"), pa.array(nodes, pa.int64()),
              pa.array(sizes, pa.int64()),
@@ -347,6 +358,12 @@ def _report(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, n, component_id of every row of `docs` (doc_id, text), and
     keep: doc_id and text_hash of the first row of its component, NULL if the set is
     empty."""
+    with small_batches(docs.sparkSession):
+        return _stored_report(docs)
+
+
+def _stored_report(docs: DataFrame) -> DataFrame:
+    """As _report; every step that takes texts is stored when this returns."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.xxhash64("text").alias("text_hash"))
     described = written(docs.mapInArrow(

@@ -33,6 +33,7 @@ SIZES = (2, 3)
 #: n-grams' worth of evidence that a score rests on at most; longer texts are scaled down
 EVIDENCE = 60.0
 BATCH_CHARS = 1 << 20
+PART_ROWS = 1000
 _FACTORS = np.array([2654435761, 2246822519, 3266489917], dtype=np.uint32)
 _letters: np.ndarray | None = None
 
@@ -86,6 +87,13 @@ def _slices(texts: list[str | None]):
         yield start, part
 
 
+def in_parts(batches, rows: int = PART_ROWS):
+    """Record batches of few rows: whole texts of one part only are copied."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def _count(batches):
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
@@ -132,7 +140,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], language: str
 
     def score(batches):
         logp = shared.value
-        for batch in batches:
+        for batch in in_parts(batches):
             texts = batch.column("text").to_pylist()
             best, scores = [], []
             for _, part in _slices(texts):

@@ -10,9 +10,9 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from callstrata.llm import (components, digest_index, group_prefix_join, language_id,
-                            piece_codec, quality, repeat_trees, secrets, splitters, token_files,
-                            winnowing)
+from callstrata.llm import (common, components, digest_index, group_prefix_join,
+                            language_id, piece_codec, quality, repeat_trees, secrets, splitters,
+                            token_files, winnowing)
 from callstrata.session import fresh_path
 
 from .conftest import SCHEMA, awkward_rows, near, prose
@@ -464,3 +464,43 @@ def test_pipeline_applies_each_stage_to_what_is_left(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf_dir)
     assert empty.count() == 0
+
+
+def test_near_dedup_takes_texts_in_small_batches(spark, tmp_path, monkeypatch):
+    """All texts of a task in one Arrow batch were held several times at once."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, describe = spark.conf.get(setting), group_prefix_join._describe
+    docs = spark.createDataFrame(
+        [(i, " ".join(f"w{i}x{j}" for j in range(4000))) for i in range(400)],
+        "doc_id bigint, text string").coalesce(1)
+
+    def sized(batches):
+        import os
+        batches = list(batches)
+        with open(f"{tmp_path}/{os.getpid()}", "w") as out:
+            out.write(str(max(batch.nbytes for batch in batches)))
+        yield from describe(iter(batches))
+
+    monkeypatch.setattr(group_prefix_join, "_describe", sized)
+    assert group_prefix_join.near_duplicates(docs).count() == 400
+    assert 0 < max(int(p.read_text()) for p in tmp_path.iterdir()) < 2 * common.BATCH_BYTES
+    assert spark.conf.get(setting) == before
+
+
+def test_members_often_seen():
+    rng = np.random.default_rng(3)
+    for size in (0, 1, 7, 8, 5000):
+        members = rng.integers(0, 900, size).astype(np.uint64)
+        kinds, times = np.unique(members, return_counts=True)
+        found, counts = group_prefix_join.often(members.copy())
+        assert found.tolist() == kinds[times >= group_prefix_join.OFTEN].tolist()
+        assert counts.tolist() == times[times >= group_prefix_join.OFTEN].tolist()
+
+
+def test_languages_are_told_in_parts():
+    import pyarrow as pa
+
+    whole = pa.record_batch({"doc_id": list(range(2500))})
+    parts = list(language_id.in_parts(iter([whole, whole.slice(0, 0)])))
+    assert [part.num_rows for part in parts] == [1000, 1000, 500]
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([whole]))
