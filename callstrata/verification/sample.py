@@ -125,23 +125,33 @@ ROWS_PER_TASK = 50_000
 _ROWS: dict[tuple[str, str], int] = {}
 
 
-def tasks(spark: SparkSession, sf_dir: str) -> int:
-    """How many tasks make the call events of a table."""
+#: Files of a micro-batch at most: some two million events.
+BATCH_FILES = 40
+
+
+def rows(spark: SparkSession, sf_dir: str) -> int:
+    """How many events a table has."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ROWS:
         _ROWS[key] = table(spark, sf_dir, "events").count()
-    return max(1, -(-_ROWS[key] // ROWS_PER_TASK))
+    return _ROWS[key]
+
+
+def tasks(spark: SparkSession, sf_dir: str) -> int:
+    """How many tasks make the call events of a table."""
+    return max(1, -(-rows(spark, sf_dir) // ROWS_PER_TASK))
 
 
-def landed(spark: SparkSession, rows: DataFrame, file_format: str, least: int,
+def landed(spark: SparkSession, made: DataFrame, file_format: str, least: int,
            **options: str) -> tuple[str, int]:
-    """Rows written as files, as many as tasks made them but `least`, and half their
-    number: that many make one of two micro-batches."""
+    """Rows written as files, as many as tasks made them but `least`, and how many of them
+    make one micro-batch: half of them, or of a large table BATCH_FILES. So what a batch
+    keeps, and what a task of its shuffles takes, does not grow with the table."""
     path = fresh_path(spark, "landing")
-    if rows.rdd.getNumPartitions() < least:
-        rows = rows.repartition(least)
-    rows.write.options(**options).format(file_format).save(path)
-    return path, max(1, -(-len(list_files(spark, path)) // 2))
+    if made.rdd.getNumPartitions() < least:
+        made = made.repartition(least)
+    made.write.options(**options).format(file_format).save(path)
+    return path, min(BATCH_FILES, max(1, -(-len(list_files(spark, path)) // 2)))
 
 
 def call_events(spark: SparkSession, sf_dir: str) -> DataFrame:

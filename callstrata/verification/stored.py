@@ -22,7 +22,7 @@ from callstrata.verification.messages import hot_row_select, messages, over_wire
 from callstrata.verification.panels import PANEL_SQL, over_hot
 from callstrata.verification.registry import Registry
 from callstrata.verification.rollups import ROLLUP_SQL
-from callstrata.verification.sample import hot_events, landed
+from callstrata.verification.sample import hot_events, landed, rows
 
 registry = Registry()
 QUERIES, SQL = registry.queries, registry.sql
@@ -40,10 +40,10 @@ def stored_hot(spark: SparkSession, sf_dir: str) -> HotTable:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _HOT:
         hot = HotTable(spark, fresh_path(spark, "hot"), distinct_per_group=10_000)
-        rows = hot_events(spark, sf_dir).persist()
+        events = hot_events(spark, sf_dir).persist()
         for n in range(WRITES):
-            hot.write(rows.where(F.hour("ingested_at") % WRITES == n), f"batch-{n}", n)
-        rows.unpersist()
+            hot.write(events.where(F.hour("ingested_at") % WRITES == n), f"batch-{n}", n)
+        events.unpersist()
         _HOT[key] = hot
     return _HOT[key]
 
@@ -52,14 +52,14 @@ def stored_hot(spark: SparkSession, sf_dir: str) -> HotTable:
                 f"count(*) AS rows FROM v WHERE ingested_at {_IN_RANGE} GROUP BY 1, 2)"))
 def ops_insert_rate_stored(spark, sf_dir):
     """A range of ingest times, which no folder tells: files out of range are not read."""
-    rows = stored_hot(spark, sf_dir).between("ingested_at", START, END)
-    return run_panel("ops_insert_rate", rows, start=str(START), end=str(END))
+    found = stored_hot(spark, sf_dir).between("ingested_at", START, END)
+    return run_panel("ops_insert_rate", found, start=str(START), end=str(END))
 
 
 def _in_range_final(name: str):
     def build(spark, sf_dir):
-        rows = stored_hot(spark, sf_dir).between("created_at", START, END, final=True)
-        return run_panel(name, rows)
+        found = stored_hot(spark, sf_dir).between("created_at", START, END, final=True)
+        return run_panel(name, found)
     return build
 
 
@@ -87,10 +87,10 @@ for _column, _value in rollup_queries._LOOKUPS.items():
 def compact_rollup(spark, sf_dir):
     """Partial sums of many batches, merged in place: one row per key is left."""
     table = RollupTable(spark, fresh_path(spark, "rollup"))
-    rows = hot_events(spark, sf_dir)
+    events = hot_events(spark, sf_dir)
     part = F.pmod(F.xxhash64("request_id", "delivery"), F.lit(WRITES))
     for n in range(WRITES):
-        table.add(rows.where(part == n), f"batch-{n}")
+        table.add(events.where(part == n), f"batch-{n}")
     table.compact(most=1, settled=0)
     return table.partials().drop("rollup_day")
 
@@ -103,10 +103,11 @@ def merged_cold(spark: SparkSession, sf_dir: str) -> ColdArchive:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MERGED:
         archive = ColdArchive(spark, fresh_path(spark, "cold"))
-        events = archived_events(spark, sf_dir).drop("body").persist()
-        for n in range(WRITES):
-            archive.write(events.where(
-                F.pmod(F.xxhash64("s3_request_key"), F.lit(WRITES)) == n), f"batch-{n}")
+        with bounded_tasks(spark, rows(spark, sf_dir)):
+            events = archived_events(spark, sf_dir).drop("body").persist()
+            for n in range(WRITES):
+                archive.write(events.where(
+                    F.pmod(F.xxhash64("s3_request_key"), F.lit(WRITES)) == n), f"batch-{n}")
         events.unpersist()
         archive.compact(most=2, settled=0)
         archive.vacuum(0)

@@ -6,6 +6,8 @@ take in several micro-batches.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -59,6 +61,18 @@ def _stream_into_archive(spark: SparkSession, sf_dir: str) -> Archive:
     return archive
 
 
+@contextmanager
+def large_state(spark: SparkSession):
+    """Streams that start within keep their state in RocksDB."""
+    before = {key: spark.conf.get(key, None) for key in LARGE_STATE_CONF}
+    keep_large_state(spark)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def hot_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The hot rows as a stream of files."""
     rows = hot_events(spark, sf_dir).select(*contract.HOT_COLUMNS)
@@ -183,12 +197,14 @@ def alert_windows_p2(spark, sf_dir):
 
 
 def deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With state in RocksDB: it holds every id."""
     path = fresh_path(spark, "deduplicated")
-    finish(
-        dedup_stream(hot_stream(spark, sf_dir)).writeStream.format("parquet")
-        .option("checkpointLocation", fresh_path(spark, "checkpoint"))
-        .trigger(availableNow=True).start(path)
-    )
+    with large_state(spark):
+        finish(
+            dedup_stream(hot_stream(spark, sf_dir)).writeStream.format("parquet")
+            .option("checkpointLocation", fresh_path(spark, "checkpoint"))
+            .trigger(availableNow=True).start(path)
+        )
     return spark.read.schema(contract.HOT_SCHEMA).parquet(path)
 
 
@@ -248,14 +264,9 @@ def alert_stream_held(spark, sf_dir):
 
 def run_held(spark: SparkSession, stream: DataFrame) -> DataFrame:
     """Run to the end of the input with state in RocksDB, as the operator needs it."""
-    before = {key: spark.conf.get(key, None) for key in LARGE_STATE_CONF}
-    keep_large_state(spark)
     path = fresh_path(spark, "held")
-    try:
+    with large_state(spark):
         finish(held_alert_stream(stream, "20 days").writeStream.format("parquet")
                .option("checkpointLocation", fresh_path(spark, "checkpoint"))
                .trigger(availableNow=True).start(path))
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.parquet(path)
