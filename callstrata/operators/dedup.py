@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from callstrata.functions.scalars import hot_month
@@ -63,3 +66,32 @@ def not_yet_cold(messages: DataFrame, cold_keys: DataFrame,
     if not few:
         found = found.hint("merge")
     return one_per_batch(messages).join(found, "s3_request_key", "left_anti")
+
+
+@contextmanager
+def new_objects(messages: DataFrame, cold_keys: DataFrame,
+                message_count: int | None = None) -> Iterator[DataFrame]:
+    """The same rows as `not_yet_cold`, of messages that are cached or stored, for writes
+    within the block.
+
+    Most objects come once and are new. Hashes of keys tell which ones may not be: those
+    are counted, and if they are few they are sent to all tasks, so that only their rows
+    are dealt out by key. All others stay in the tasks that hold them. Keys with equal
+    hashes are compared whole, so hashes that collide do no harm.
+    """
+    key_hash = F.xxhash64("s3_request_key").alias("_hash")
+    known = cold_keys.select("s3_request_key").persist()
+    repeated = messages.groupBy(key_hash).count().where("count > 1").select("_hash")
+    special = repeated.unionByName(known.select(key_hash)).distinct().persist()
+    try:
+        if special.count() > MAX_BROADCAST_KEYS:
+            yield not_yet_cold(messages, known, message_count)
+            return
+        marked = messages.withColumn("_hash", F.xxhash64("s3_request_key"))
+        alone, rest = (
+            marked.join(F.broadcast(special), "_hash", how).drop("_hash")
+            for how in ("left_anti", "left_semi"))
+        yield alone.unionByName(not_yet_cold(rest, known))
+    finally:
+        special.unpersist()
+        known.unpersist()

@@ -49,7 +49,8 @@ class HotTable:
               size: int | None = None, rebalance: bool = True) -> None:
         """Append a batch; writing the same batch again replaces it. Its `size` in rows,
         if known, bounds the bloom filters: those of a small batch are small. Without
-        `rebalance` each task writes its own files, for tasks with many rows of few days."""
+        `rebalance` each task writes its own files, for tasks with many rows of few days;
+        `size` is then that of a task."""
         if "batch_id" not in rows.columns:
             rows = rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         rows = rows.select(*contract.HOT_COLUMNS, F.col("batch_id").cast("bigint")).withColumns({

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from callstrata import contract
-from callstrata.operators.dedup import not_yet_cold
+from callstrata.operators.dedup import new_objects
 from callstrata.operators.ingest import (
     DEFAULT_ENVIRONMENT, NOT_ARCHIVED, map_hot_row, parse_messages, quarantine_rows,
     skipped_versions, version_gate, with_cold_keys,
@@ -87,7 +87,8 @@ class Archive:
                 size = sum(row["count"] for row in archived)
                 known = self.cold.index.known(
                     events.select("s3_request_key"), days, except_write=write_id, size=size)
-                self.cold.write(not_yet_cold(events, known, size), write_id)
+                with new_objects(events, known, size) as new:
+                    self.cold.write(new, write_id)
 
             def write_skipped() -> None:
                 rows = skipped_versions(parsed).withColumn("write_id", F.lit(write_id))
@@ -106,7 +107,10 @@ class Archive:
                 size = sum(row["count"] for row in counts if row.reason is None)
                 days = len({row.cold_day for row in counts if row.reason is None}) + 1
                 # tasks with rows for whole files need not exchange them
-                spread = size < ROWS_PER_FILE * days * parsed.rdd.getNumPartitions()
+                tasks = parsed.rdd.getNumPartitions()
+                spread = size < ROWS_PER_FILE * days * tasks
+                if not spread:  # about the rows of one task's files
+                    size = 2 * -(-size // tasks)
                 if self.park_hot_failures:
                     if self._write_hot(good, write_id, batch_id, size, spread):
                         self.rollup.add(counted(good), write_id)

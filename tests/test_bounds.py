@@ -3,8 +3,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from callstrata.operators.dedup import MAX_BROADCAST_KEYS, not_yet_cold
+from callstrata.operators import dedup
+from callstrata.operators.dedup import MAX_BROADCAST_KEYS, new_objects, not_yet_cold
 from callstrata.session import bounded_tasks, fresh_path
+from callstrata.sources import committed
 from callstrata.sources.cold import ColdArchive
 from callstrata.streaming.ingest import Archive
 from callstrata.verification import sample, streams
@@ -96,3 +98,61 @@ def test_streaming_ingest_takes_few_bytes_a_task(spark, sf_dir, monkeypatch):
                         seen.append(spark.conf.get("spark.sql.files.maxPartitionBytes")))
     streams._stream_into_archive(spark, sf_dir)
     assert seen == [str(8 << 20)] * 2
+
+
+def test_only_rows_that_may_not_be_new_are_dealt_out(spark):
+    """Three keys: one new, one that came twice, one that the archive has."""
+    path = fresh_path(spark, "keys")
+    spark.createDataFrame([("a",), ("z",)], "s3_request_key string").write.parquet(path)
+    batch = spark.createDataFrame(
+        [("a", 1), ("a", 2), ("b", 4), ("b", 3), ("c", 5), (None, 6)],
+        "s3_request_key string, received_at int")
+    with new_objects(batch, spark.read.parquet(path)) as new:
+        assert sorted(map(tuple, new.collect()), key=str) == [("b", 3), ("c", 5), (None, 6)]
+        single = plan_of(new).split("Union")[1]
+        assert "LeftAnti, BuildRight" in single
+    wide = sorted(map(tuple, not_yet_cold(batch, spark.read.parquet(path)).collect()), key=str)
+    assert wide == [("b", 3), ("c", 5), (None, 6)]
+
+
+def test_many_rows_that_may_not_be_new_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "MAX_BROADCAST_KEYS", 1)
+    keys = spark.createDataFrame([("a",), ("z",)], "s3_request_key string")
+    batch = spark.createDataFrame([("a", 1), ("b", 4), ("b", 3), ("c", 5)],
+                                  "s3_request_key string, received_at int")
+    with new_objects(batch, keys) as new:
+        assert "BroadcastHashJoin" not in plan_of(new)
+        assert sorted(map(tuple, new.collect())) == [("b", 3), ("c", 5)]
+
+
+def test_a_micro_batch_has_few_files_of_a_large_table(spark, monkeypatch):
+    rows = spark.range(100).repartition(10)
+    monkeypatch.setattr(sample, "BATCH_FILES", 3)
+    path, most = sample.landed(spark, rows, "parquet", streams.FILES)
+    assert most == 3 and spark.read.parquet(path).count() == 100
+
+
+def test_replaced_rows_are_shuffled_in_enough_partitions(spark, monkeypatch):
+    seen = []
+
+    def bounded(session, rows=None):
+        seen.append(rows)
+        return bounded_tasks(session, rows)
+
+    monkeypatch.setattr(committed, "bounded_tasks", bounded)
+    table = committed.CommittedTable(spark, fresh_path(spark, "t"), "id BIGINT, part STRING",
+                                     ("part",), ranges=("id",))
+    table.write(spark.range(20).withColumn("part", F.lit("x")), "first")
+    table.replace(table.files(), table.read().distinct(), "second")
+    assert seen == [None, 20] and table.read().count() == 20
+
+
+def test_deduplication_keeps_its_state_on_disk(spark, sf_dir, monkeypatch):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    seen, run = [], streams.finish
+    monkeypatch.setattr(streams, "finish", lambda stream: (
+        seen.append(spark.conf.get(name)), run(stream)))
+    before = spark.conf.get(name)
+    found = streams.deduplicated(spark, sf_dir)
+    assert "RocksDB" in seen[0] and spark.conf.get(name) == before
+    assert found.count() == found.select("request_id").distinct().count()
