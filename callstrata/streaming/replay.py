@@ -112,7 +112,8 @@ def rebuild_hot(archive: Archive, first_day: str, last_day: str, vendor_id: str
             missing, run["vendor_id"], run["days"], few=run["bytes"] <= BROADCAST_BYTES)
         rows = archived_rows(whole, F.lit(run["at"]).cast("timestamp"), archive.environment)
         write_id = f"cold-replay-{run['run']}"
-        archive.hot.write(rows, write_id, 0, run["events"])
+        with bounded_tasks(spark, run["events"]):
+            archive.hot.write(rows, write_id, 0, run["events"])
         archive.rollup.add(archive.hot.table.read(archive.hot.table.files(
             lambda file: file.write_id == write_id)), write_id)
         archive.ledger.advance(run, "written")

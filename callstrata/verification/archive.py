@@ -13,7 +13,7 @@ from callstrata.operators import dedup, retention
 from callstrata.operators.ingest import (
     hot_rows, parse_messages, quarantine_rows, version_gate, with_cold_keys,
 )
-from callstrata.session import fresh_path
+from callstrata.session import bounded_tasks, fresh_path
 from callstrata.sources.audit import parse_audit
 from callstrata.sources.cold import ColdArchive, document_text
 from callstrata.sources.hot import HotTable
@@ -23,6 +23,7 @@ from callstrata.verification.messages import (
     DAY_SQL, PREFIX_SQL, hot_row_select, messages, over_wire,
 )
 from callstrata.verification.panels import over_hot
+from callstrata.verification import sample
 from callstrata.verification.registry import Registry
 from callstrata.verification.sample import hot_events, table
 
@@ -72,8 +73,9 @@ def cold_archive(spark: SparkSession, sf_dir: str) -> ColdArchive:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _COLD:
         archive = ColdArchive(spark, fresh_path(spark, "cold"))
-        events = archived_events(spark, sf_dir).drop("body").persist()
-        archive.write(events, "batch-0")
+        with bounded_tasks(spark, sample.rows(spark, sf_dir)):
+            events = archived_events(spark, sf_dir).drop("body").persist()
+            archive.write(events, "batch-0")
         events.unpersist()
         _COLD[key] = archive
     return _COLD[key]
