@@ -53,12 +53,23 @@ CACHED_LENGTH = 64
 # always where the tokenizer's word pattern ends a word.
 _VISIBLE = "!-~¡-¬®-ɏ"
 _UNEVEN = re.compile(f"^[ \n]|[^{_VISIBLE}][ \n]|[ \n](?:[^{_VISIBLE}]|$)")
+_NOT_VISIBLE = re.compile(f"[^ \n{_VISIBLE}]")
 # Within these the pattern's classes of letters and digits are plain ranges.
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _PLAIN = re.compile(f"[!-~{_LETTERS}]*")
+_NOT_PLAIN = re.compile(f"[^ \n!-~{_LETTERS}]")
 _WORD = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\\s{_LETTERS}0-9]+")
 
 
+def _uneven(text: str, visible: bool) -> bool:
+    """What `_UNEVEN` finds, without a look at every place of a `visible` text: one of
+    visible characters, spaces and line ends alone. `text` is not empty."""
+    if not visible:
+        return _UNEVEN.search(text) is not None
+    return (text[0] in " \n" or text[-1] in " \n" or "  " in text or "\n\n" in text
+            or " \n" in text or "\n " in text)
+
+
 def _byte_characters() -> dict[int, str]:
     """The character that stands for each byte in a byte-level vocabulary: itself where
     it is visible, else the next one from U+0100 on."""
@@ -78,10 +89,9 @@ class CachedEncoder:
         self._forget()
 
     def _forget(self):
-        self.tokenizer = None
-        #: ids of " " + piece, of pieces without a space, of single words
-        self.spaced: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
+        self.tokenizer = self.model = None
+        #: ids of " " + piece, or of a line end and its piece; of single words
+        self.pieces: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def __getstate__(self):
@@ -97,6 +107,7 @@ class CachedEncoder:
 
         self.tokenizer = Tokenizer.from_str(self.definition)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model  # each look at that attribute makes an object
         self.line_end = self._library("\n")
 
     def _library(self, text: str) -> bytes:
@@ -109,42 +120,44 @@ class CachedEncoder:
         if ids is None:
             if len(self.words) >= CACHE:
                 self.words.clear()
-            shown = word.encode().decode("latin-1").translate(self.characters)
+            # of ASCII, words have visible characters and a space at the start
+            shown = (word.replace(" ", self.characters[32]) if word.isascii()
+                     else word.encode().decode("latin-1").translate(self.characters))
             ids = self.words[word] = array(
-                self.code, [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+                self.code, [t.id for t in self.model.tokenize(shown)]).tobytes()
         return ids
 
-    def _piece(self, piece: str, space: str) -> bytes:
-        known = self.spaced if space else self.first
-        ids = known.get(piece)
+    def _piece(self, piece: str, plain: bool) -> bytes:
+        """Ids of a piece: what follows a space, or a line end with what follows it."""
+        ids = self.pieces.get(piece)
         if ids is None:
+            start, rest = (self.line_end, piece[1:]) if piece[0] == "\n" else (b"", " " + piece)
             if len(piece) > CACHED_LENGTH:
-                return self._library(space + piece)
-            if len(known) >= CACHE:
-                known.clear()
-            ids = known[piece] = (
-                b"".join(map(self._word, _WORD.findall(space + piece)))
-                if _PLAIN.fullmatch(piece) else self._library(space + piece))
+                return start + self._library(rest)
+            if len(self.pieces) >= CACHE:
+                self.pieces.clear()
+            ids = self.pieces[piece] = start + (
+                b"".join(map(self._word, _WORD.findall(rest)))
+                if plain or _PLAIN.fullmatch(rest, 0 if start else 1) else self._library(rest))
         return ids
 
     def encode(self, text: str) -> bytes:
         if self.tokenizer is None:
             self._start()
-        if not text or _UNEVEN.search(text):
-            return self._library(text) if text else b""
-        pieces = text.split(" ")
-        found = list(map(self.spaced.get, pieces))
-        found[0] = None
+        if not text:
+            return b""
+        plain = not _NOT_PLAIN.search(text)
+        if _uneven(text, plain or not _NOT_VISIBLE.search(text)):
+            return self._library(text)
+        pieces = text.replace("\n", " \n").split(" ")
+        found = list(map(self.pieces.get, pieces))
+        # the first piece follows nothing: as after a line end, without that
+        found[0] = self._piece("\n" + pieces[0], plain)[len(self.line_end):]
         if None in found:
-            at = -1
+            at = 0
             for _ in range(found.count(None)):
                 at = found.index(None, at + 1)
-                space = " " if at else ""
-                first, *lines = pieces[at].split("\n")
-                ids = self._piece(first, space)
-                if lines:
-                    ids = self.line_end.join([ids, *(self._piece(x, "") for x in lines)])
-                found[at] = ids
+                found[at] = self._piece(pieces[at], plain)
         return b"".join(found)
 
 
