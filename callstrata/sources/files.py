@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from callstrata.session import fresh_path
+
+#: A task that stores rows keeps about as many bytes of them.
+STAGED_GROUP_BYTES = 32 << 20
+
 
 def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
     """Run independent writes at the same time, so that their small stages overlap.
@@ -49,6 +55,21 @@ def write_partitions(rows: DataFrame, path: str, partition_by: Sequence[str], *,
     )
 
 
+@contextmanager
+def staged(rows: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Rows that several jobs read, computed once and stored below the shared folder for the
+    time of the block. A cache would hold them on the heap, many times larger and with all
+    columns, next to the tasks that read them."""
+    spark = rows.sparkSession
+    path = fresh_path(spark, name)
+    try:
+        rows.write.options(**{
+            "compression": "zstd", "parquet.block.size": str(STAGED_GROUP_BYTES)}).parquet(path)
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        drop_folder(spark, path)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

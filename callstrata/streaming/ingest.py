@@ -17,7 +17,7 @@ from callstrata.operators.ingest import (
 )
 from callstrata.session import bounded_tasks
 from callstrata.sources.cold import ColdArchive
-from callstrata.sources.files import together, write_partitions
+from callstrata.sources.files import staged, together, write_partitions
 from callstrata.sources.hot import HotTable
 from callstrata.sources.ledger import Ledger
 from callstrata.sources.quarantine import HOT_FAILED, Quarantine
@@ -26,6 +26,8 @@ from callstrata.sources.rollups import RollupTable
 
 #: Rows of a day that make a file of their own.
 ROWS_PER_FILE = 10_000
+#: What ingest takes of a message, where it is there.
+MESSAGE_COLUMNS = ("body", "received_at", "attempts", "delivery", "batch_id")
 
 
 @dataclass
@@ -72,8 +74,11 @@ class Archive:
             self._ingest(messages, batch_id, f"{source}-{batch_id:012d}")
 
     def _ingest(self, messages: DataFrame, batch_id: int, write_id: str) -> None:
-        parsed = with_cold_keys(parse_messages(messages)).persist()
-        try:
+        carried = [name for name in MESSAGE_COLUMNS if name in messages.columns]
+        parsed = with_cold_keys(parse_messages(messages.select(*carried)))
+        if not self.park_hot_failures:  # the fields of a good message are all that is needed
+            parsed = parsed.withColumn("body", F.when(F.col("reason").isNotNull(), F.col("body")))
+        with staged(parsed, "batch") as parsed:
             # One row per calendar day and reason: which days to look up, and
             # which tables get rows at all.
             counts = parsed.groupBy("cold_day", "reason").count().collect()
@@ -107,7 +112,7 @@ class Archive:
                 size = sum(row["count"] for row in counts if row.reason is None)
                 days = len({row.cold_day for row in counts if row.reason is None}) + 1
                 # tasks with rows for whole files need not exchange them
-                tasks = parsed.rdd.getNumPartitions()
+                tasks = min(parsed.rdd.getNumPartitions(), len(parsed.inputFiles()))
                 spread = size < ROWS_PER_FILE * days * tasks
                 if not spread:  # about the rows of one task's files
                     size = 2 * -(-size // tasks)
@@ -119,8 +124,6 @@ class Archive:
                         messages.sparkSession,
                         lambda: self._write_hot(good, write_id, batch_id, size, spread),
                         lambda: self.rollup.add(counted(good), write_id))
-        finally:
-            parsed.unpersist()
 
     def _write_hot(self, good: DataFrame, write_id: str, batch_id: int, size: int,
                    spread: bool) -> bool:

@@ -37,7 +37,7 @@ class _Down(HotTable):
 
 def _landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "landing")
-    messages(spark, sf_dir).write.parquet(path)
+    messages(spark, sf_dir).write.option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 

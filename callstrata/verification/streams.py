@@ -141,7 +141,8 @@ def rollup_of_stream(spark, sf_dir):
 def batch_idempotent(spark, sf_dir):
     """The same batch ingested twice leaves one set of rows."""
     archive = Archive.at(spark, fresh_path(spark, "archive"))
-    landing, _ = landed(spark, messages(spark, sf_dir).drop("delivery"), "parquet", FILES)
+    landing, _ = landed(spark, messages(spark, sf_dir).drop("delivery"), "parquet", FILES,
+                        compression="zstd")
     batch = spark.read.parquet(landing)
     for _ in range(2):
         archive.ingest(batch, 7, source="messages")

@@ -8,9 +8,12 @@ from callstrata.operators.dedup import MAX_BROADCAST_KEYS, new_objects, not_yet_
 from callstrata.session import bounded_tasks, fresh_path
 from callstrata.sources import committed
 from callstrata.sources.cold import ColdArchive
+from callstrata.sources.files import path_exists, staged
+from callstrata.sources.hot import HotTable
 from callstrata.streaming.ingest import Archive
 from callstrata.verification import sample, streams
 from callstrata.verification.archive import archived_events
+from test_ingest import body, frame
 
 
 def plan_of(frame):
@@ -156,3 +159,37 @@ def test_deduplication_keeps_its_state_on_disk(spark, sf_dir, monkeypatch):
     found = streams.deduplicated(spark, sf_dir)
     assert "RocksDB" in seen[0] and spark.conf.get(name) == before
     assert found.count() == found.select("request_id").distinct().count()
+
+
+def kept_on_the_heap(spark, besides):
+    """Ids of what the session keeps in memory now."""
+    kept = spark.sparkContext._jsc.getPersistentRDDs()
+    return {k for k in kept.keySet() if kept[k].getStorageLevel().useMemory()} - set(besides)
+
+
+IDS = [f"11111111-2222-4333-8444-55555555555{n}" for n in range(4)]
+
+
+def test_a_batch_is_not_kept_on_the_heap(spark, monkeypatch):
+    before, seen, write = kept_on_the_heap(spark, ()), [], HotTable.write
+
+    def watched(self, rows, *some, **named):
+        seen.append((kept_on_the_heap(spark, before), len(rows.inputFiles())))
+        write(self, rows, *some, **named)
+
+    monkeypatch.setattr(HotTable, "write", watched)
+    archive = Archive.at(spark, fresh_path(spark, "archive"))
+    archive.ingest(frame(spark, body(request_id=IDS[0]), body(request_id=IDS[1]), "{ poison"),
+                   0, source="q")
+    assert [kept for kept, _ in seen] == [set()]
+    assert seen[0][1] > 0, "the hot rows are made from stored fields"
+    assert archive.hot.raw().count() == 2
+    assert [r.body for r in archive.quarantine.rows().collect()] == ["{ poison"]
+
+
+def test_staged_rows_are_gone_after_their_block(spark):
+    with pytest.raises(ZeroDivisionError), staged(spark.range(5), "some") as rows:
+        path = rows.inputFiles()[0].rsplit("/", 1)[0]
+        assert rows.count() == 5 and path_exists(spark, path)
+        1 / 0
+    assert not path_exists(spark, path)
