@@ -95,7 +95,7 @@ def rebuild_hot(archive: Archive, first_day: str, last_day: str, vendor_id: str
     if run is None:
         path = fresh_path(spark, "missing-events")
         days = _days(first_day, last_day)
-        with bounded_tasks(spark):
+        with bounded_tasks(spark, archive.cold.index.rows(days)):
             missing_events(archive, days, vendor_id).write.parquet(path)
         size = spark.read.parquet(path).agg(
             F.count("*").alias("n"),
@@ -107,12 +107,13 @@ def rebuild_hot(archive: Archive, first_day: str, last_day: str, vendor_id: str
             "cold", missing=path, days=days, vendor_id=vendor_id, events=size["n"],
             bytes=size["bytes"], at=str(received_at or _now()))
     if run["state"] == "claimed":
-        missing = spark.read.parquet(run["missing"])
-        whole = archive.cold.with_payloads(
-            missing, run["vendor_id"], run["days"], few=run["bytes"] <= BROADCAST_BYTES)
+        missing, few = spark.read.parquet(run["missing"]), run["bytes"] <= BROADCAST_BYTES
+        whole = archive.cold.with_payloads(missing, run["vendor_id"], run["days"], few=few)
         rows = archived_rows(whole, F.lit(run["at"]).cast("timestamp"), archive.environment)
         write_id = f"cold-replay-{run['run']}"
-        with bounded_tasks(spark, run["events"]):
+        # where they are many, all documents of these days are dealt out with them
+        dealt = run["events"] if few else archive.cold.index.rows(run["days"])
+        with bounded_tasks(spark, dealt):
             archive.hot.write(rows, write_id, 0, run["events"])
         archive.rollup.add(archive.hot.table.read(archive.hot.table.files(
             lambda file: file.write_id == write_id)), write_id)

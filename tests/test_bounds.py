@@ -10,6 +10,7 @@ from callstrata.sources import committed
 from callstrata.sources.cold import ColdArchive
 from callstrata.sources.files import path_exists, staged
 from callstrata.sources.hot import HotTable
+from callstrata.streaming import replay
 from callstrata.streaming.ingest import Archive
 from callstrata.verification import sample, streams
 from callstrata.verification.archive import archived_events
@@ -193,3 +194,24 @@ def test_staged_rows_are_gone_after_their_block(spark):
         assert rows.count() == 5 and path_exists(spark, path)
         1 / 0
     assert not path_exists(spark, path)
+
+
+@pytest.mark.parametrize("few", [False, True])
+def test_rebuilt_rows_are_shuffled_in_enough_partitions(spark, monkeypatch, few):
+    """Four archived events, one of them missing: with it the metadata of all four is
+    shuffled, and their documents, too, unless it is sent to all tasks."""
+    archive = Archive.at(spark, fresh_path(spark, "archive"))
+    archive.ingest(frame(spark, *[body(request_id=i) for i in IDS]), 0, source="q")
+    hot = archive.hot.table
+    hot.replace(hot.files(), hot.read().where(F.col("request_id") != IDS[0]), "kept")
+    seen = []
+
+    def bounded(session, rows=None):
+        seen.append(rows)
+        return bounded_tasks(session, rows)
+
+    monkeypatch.setattr(replay, "bounded_tasks", bounded)
+    monkeypatch.setattr(replay, "BROADCAST_BYTES", replay.BROADCAST_BYTES if few else 0)
+    assert replay.rebuild_hot(archive, "2026/05/28", "2026/05/30") == 1
+    assert seen == [4, 1 if few else 4]
+    assert sorted(r.request_id for r in archive.hot.raw().collect()) == IDS
