@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window, functions as F
 
 from callstrata.functions.scalars import hot_month
@@ -80,9 +81,11 @@ def new_objects(messages: DataFrame, cold_keys: DataFrame,
     hashes are compared whole, so hashes that collide do no harm.
     """
     key_hash = F.xxhash64("s3_request_key").alias("_hash")
-    known = cold_keys.select("s3_request_key").persist()
+    # on disk: a batch that comes again has as many known keys as rows
+    known = cold_keys.select("s3_request_key").persist(StorageLevel.DISK_ONLY)
     repeated = messages.groupBy(key_hash).count().where("count > 1").select("_hash")
-    special = repeated.unionByName(known.select(key_hash)).distinct().persist()
+    special = repeated.unionByName(known.select(key_hash)).distinct().persist(
+        StorageLevel.DISK_ONLY)
     try:
         if special.count() > MAX_BROADCAST_KEYS:
             yield not_yet_cold(messages, known, message_count)

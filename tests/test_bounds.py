@@ -196,6 +196,15 @@ def test_staged_rows_are_gone_after_their_block(spark):
     assert not path_exists(spark, path)
 
 
+def test_known_keys_are_not_kept_on_the_heap(spark):
+    keys = spark.createDataFrame([("a",), ("z",)], "s3_request_key string")
+    batch = spark.createDataFrame([("a", 1), ("b", 4)], "s3_request_key string, received_at int")
+    before = kept_on_the_heap(spark, ())
+    with new_objects(batch, keys) as new:
+        assert [tuple(row) for row in new.collect()] == [("b", 4)]
+        assert kept_on_the_heap(spark, before) == set()
+
+
 @pytest.mark.parametrize("few", [False, True])
 def test_rebuilt_rows_are_shuffled_in_enough_partitions(spark, monkeypatch, few):
     """Four archived events, one of them missing: with it the metadata of all four is
