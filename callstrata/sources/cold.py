@@ -131,7 +131,7 @@ class ColdArchive:
         files = self.meta.files()
         if not files:
             return self.spark.createDataFrame([], "line string, records bigint")
-        lines = self.spark.read.text([f"{self.meta.data_path}/{f.path}" for f in files])
+        lines = _lines(self.spark, [f"{self.meta.data_path}/{f.path}" for f in files])
         schema = f"{contract.COLD_SCAN_SCHEMA}, _corrupt STRING"
         parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"})
         return (lines.where(parsed["_corrupt"].isNotNull())
@@ -195,6 +195,23 @@ class ColdArchive:
         return sum(t.vacuum(grace) for t in (self.payloads, self.meta, self.index.table))
 
 
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines of packed files. One that is not packed, though its name says so, as after a
+    repair by hand, is taken as it is: it is what such a search is for."""
+    stored = spark.read.format("binaryFile").load(paths)
+    plain = {row.path.rsplit("/", 1)[1] for row in stored.where(
+        F.hex(F.substring("content", 1, 2)) != "1F8B").select("path").collect()}
+
+    def some(kept: bool) -> list[str]:
+        return [path for path in paths if (path.rsplit("/", 1)[1] in plain) is kept]
+
+    if not plain:
+        return spark.read.text(paths)
+    lines = spark.read.format("binaryFile").load(some(True)).select(
+        F.explode(F.split(F.decode("content", "UTF-8"), r"\r\n|\n|\r")).alias("value"))
+    return lines.unionByName(spark.read.text(some(False))) if some(False) else lines
+
+
 def _event_of(key: Column) -> Column:
     """What the keys of one event's objects have in common: all but the last segment."""
     return F.regexp_replace(key, r"/[^/]*\z", "")
